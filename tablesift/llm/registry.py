@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import bpe
+from tablesift.llm import bpe, exact_dedup, line_dedup, packing, secrets, shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_feistel_shards": shard.op2_feistel_shards,
+    "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_pack": packing.op5_pack,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op10_secrets": secrets.op10_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": exact_dedup.OP4_SQL,
+}
