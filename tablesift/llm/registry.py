@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import bpe, exact_dedup, line_dedup, packing, secrets, shard
+from tablesift.llm import bpe, exact_dedup, line_dedup, packing, secrets, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_feistel_shards": shard.op2_feistel_shards,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_pack": packing.op5_pack,
     "op7_line_dedup": line_dedup.op7_line_dedup,
