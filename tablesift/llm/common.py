@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,20 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the folder that all executors share.
-
-    A lost executor costs nothing that is kept there, unlike with
-    ``localCheckpoint``.  ``spark.checkpoint.dir`` wins; a temporary folder is
-    taken only where none is set, as in tests on one machine.
-    """
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, which all executors share; a temporary folder only where none is set, as in tests on one machine."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage of thin rows by a checkpoint; a lost executor costs nothing that is kept there."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def rewritten(df: DataFrame) -> DataFrame:
+    """Write whole rows as Parquet in the shared folder and read them again."""
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``limit`` rows, else as it is.
 

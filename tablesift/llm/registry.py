@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import bpe, exact_dedup, line_dedup, packing, secrets, shard, toxicity
+from tablesift.llm import bpe, exact_dedup, jaccard, licenses, line_dedup, neighbours, packing, secrets, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -14,10 +14,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_pack": packing.op5_pack,
+    "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_licenses": licenses.op8_licenses,
+    "op9_nearest": neighbours.op9_nearest,
     "op10_secrets": secrets.op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op6_ngram_jaccard": jaccard.OP6_SQL,
+    "op9_nearest": neighbours.OP9_SQL,
 }

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesift.llm.common import settle, slices, table, text_of
+from tablesift.llm.common import settle, slices, small, table, text_of
 
 #: Characters between parts that belong together.
 SCOPE = 512
@@ -85,7 +85,7 @@ def _near(a: Column, b: Column, scope: int) -> Column:
 def linked(found: DataFrame, key: str, scope: int = SCOPE) -> DataFrame:
     """Weak spans that complementary parts confirm: ``key`` and ``linked``, sorted arrays of spans.
 
-    ``found`` (settled) has ``key``, base and weak; an interval join in two steps.
+    ``found`` (settled) has one row for each ``key``, with base and weak; an interval join in two steps.
     """
     weak = found.filter(F.size("weak") > 0)
     access = weak.select(key, F.explode("base").alias("access")).filter("access.kind = 1")
@@ -103,13 +103,17 @@ def linked(found: DataFrame, key: str, scope: int = SCOPE) -> DataFrame:
 
 
 def scan(df: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
-    """All columns but the text, and ``base`` and ``spans``: arrays of (kind, start, stop), by start and then kind."""
-    found = settle(detected(df, text).withColumn("own", F.monotonically_increasing_id()))
-    more = linked(found, "own", scope)
+    """All columns, and ``base`` and ``spans``: arrays of (kind, start, stop), by start and then kind."""
+    keyed = df.withColumn("__key", F.md5(text_of(text).cast("binary"))).withColumn("__kept", F.col(f"`{text}`"))
+    # Equal texts have equal spans, so parts are linked once for each text; without an
+    # access identifier there is nothing to link.
+    weak = detected(keyed.filter(F.contains(text_of(text), F.lit("AKIA"))).select("__key", text), text).filter(F.size("weak") > 0)
+    more = settle(linked(settle(weak.dropDuplicates(["__key"])), "__key", scope))
+    joined = detected(keyed, text).drop("weak").join(small(more), "__key", "left")
     by_start = lambda a, b: F.when((a.start < b.start) | ((a.start == b.start) & (a.kind < b.kind)), -1).when((a.start == b.start) & (a.kind == b.kind), 0).otherwise(1)
-    joined = found.join(more, "own", "left")
     spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(T.ArrayType(_SPAN)))), by_start)
-    return joined.withColumn("spans", spans).drop("own", "weak", "linked")
+    rest = [c for c in df.columns if c not in (text, "base", "spans")]
+    return joined.select(*[F.col(f"`{c}`") for c in rest], F.col("__kept").alias(text), "base", F.when(F.col("linked").isNull(), F.col("base")).otherwise(spans).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -121,7 +125,7 @@ def listed(spans: Column) -> Column:
 def redacted(text: Column, spans: Column) -> Column:
     """The text with ``[kind]`` for each span; of spans that overlap, the first covers the others."""
     kinds = F.array(*[F.lit(f"[{k}]") for k in KINDS])
-    return F.aggregate(
+    cut = F.aggregate(
         spans,
         F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")),
         lambda a, s: F.struct(
@@ -130,6 +134,7 @@ def redacted(text: Column, spans: Column) -> Column:
         ),
         lambda a: F.concat(a.kept, F.substring(text, a["at"] + 1, F.length(text))),
     )
+    return F.when(F.size(spans) > 0, cut).otherwise(text)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

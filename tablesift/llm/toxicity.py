@@ -154,22 +154,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     return fit([np.frombuffer(t, np.int32) for t in got["terms"]], got["toxic"].to_numpy(float)) if len(got) else None
 
 
-def scored(docs: DataFrame, machine: Machine | None, text: str = "text") -> DataFrame:
-    """Add ``score`` to every row."""
+def scored(docs: DataFrame, machine: Machine | None, text: str = "text", score: str = "score") -> DataFrame:
+    """Add the score to every row, as column ``score``."""
     if machine is None:
-        return docs.withColumn("score", F.lit(0.0))
-    fields = [f for f in docs.schema if f.name != "score"]
+        return docs.withColumn(score, F.lit(0.0))
+    fields = [f for f in docs.schema if f.name != score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = np.full(1 << BITS, -1, np.int16)
         slot[machine.active] = np.arange(len(machine.active))
         for whole in batches:
             for batch in slices(whole, text, 1 << 20):
-                rest = [i for i, n in enumerate(batch.schema.names) if n != "score"]
-                score = machine._score(batch.column(text).to_pylist(), slot)
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(score, pa.float64())], [*[batch.schema.names[i] for i in rest], "score"])
+                rest = [i for i, n in enumerate(batch.schema.names) if n != score]
+                found = machine._score(batch.column(text).to_pylist(), slot)
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(found, pa.float64())], [*[batch.schema.names[i] for i in rest], score])
 
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(score, T.DoubleType())]))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

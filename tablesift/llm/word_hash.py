@@ -85,3 +85,14 @@ class Words:
             else:
                 out.append(runs[:0])
         return out
+
+
+def shingle_sets(texts: list[str | None], size: int, limit: int = 1 << 20) -> list[np.ndarray]:
+    """``Words(texts).shingles(size)``, about ``limit`` characters at a time."""
+    out, start, held = [], 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held >= limit or i + 1 == len(texts):
+            out += Words(texts[start : i + 1]).shingles(size)
+            start, held = i + 1, 0
+    return out
