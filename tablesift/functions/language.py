@@ -34,7 +34,11 @@ class FrequentWords:
 
     def __call__(self, text: Column) -> Column:
         words = F.filter(F.split(F.lower(text), r"(?U)[^\p{L}]+"), lambda w: w != "")
-        hits = [F.struct(F.size(F.filter(words, lambda w, own=own: w.isin(own))).alias("hits"), F.lit(lang).alias("lang")) for lang, own in self.WORDS.items()]
+
+        def held(own: list[str]) -> Column:
+            return F.size(F.filter(words, lambda w: w.isin(own)))
+
+        hits = [F.struct(held(own).alias("hits"), F.lit(lang).alias("lang")) for lang, own in self.WORDS.items()]
         best = F.array_max(F.array(*hits))
         score = F.least(F.lit(1.0), best["hits"].cast("double") / F.greatest(F.size(words), F.lit(1)) * 2)
         return F.when(F.coalesce(F.size(words), F.lit(0)) > 0, F.struct(F.when(best["hits"] > 0, best["lang"]).otherwise("und").alias("lang"), score.alias("score")))
