@@ -47,7 +47,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesift.llm.common import settle, slices, small, table, text_of
@@ -134,37 +134,95 @@ def sketches(docs: DataFrame, counts) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, key string, n long, least array<long>, common double")
 
 
+def _prefix(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Prefix tokens of a set, their rooms, and how many are of the index prefix.
+
+    A token's room is the largest size of a set with which it can be the first in
+    common, as what is left of both bounds the intersection.
+    """
+    n = len(hashes)
+    place = np.arange(probe_length(n))
+    return _signed(_rarest_first(hashes, counts)[: len(place)]), (n - place) * (100 + PERCENT) // PERCENT - n, index_length(n)
+
+
 def prefixes(docs: DataFrame, counts) -> DataFrame:
-    """Postings under order 1: token, key, part, n, room, and whether it is of the index prefix.
+    """Postings of nodes under order 1: token, key, part, n, room, and whether it is of the index prefix.
 
-    ``room`` is the largest size of a set with which this token can be the first
-    in common, as what is left of both bounds the intersection.  Of rows with
-    equal text, a partition gives one.
+    Of rows with equal text, a partition gives one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
+        seen = _Seen()
         for batch, sets in _shingled(batches):
-            row, token, size, place, index = [], [], [], [], []
+            row, parts = [], []
             for i, (k, s) in enumerate(zip(batch.column("key").to_pylist(), sets)):
-                if not len(s) or k in seen:
+                if len(s) and seen.first(k):
+                    token, room, index = _prefix(s, counts.value)
+                    row.append(np.full(len(token), i))
+                    parts.append((token, np.full(len(token), len(s)), room, np.arange(len(token)) < index))
+            if row:
+                own = [batch.column(c).take(pa.array(np.concatenate(row))) for c in ("key", "part")]
+                token, n, room, index = (pa.array(np.concatenate(c)) for c in zip(*parts))
+                yield pa.RecordBatch.from_arrays([token, *own, n, room, index], ["token", "key", "part", "n", "room", "index"])
+
+    return docs.select("key", "part", "text").mapInArrow(run, "token long, key string, part long, n long, room long, index boolean")
+
+
+class _Seen:
+    """Keys that a task has met, as many as memory allows; a key that is forgotten is only handled again."""
+
+    def __init__(self, most: int = 1_000_000):
+        self._keys: set[str] = set()
+        self._most = most
+
+    def first(self, key: str) -> bool:
+        if key in self._keys:
+            return False
+        if len(self._keys) < self._most:
+            self._keys.add(key)
+        return True
+
+
+def component_prefixes(docs: DataFrame, counts, held: int = 200_000) -> DataFrame:
+    """Postings of components: token, part, index, and the least and largest n and the largest room of members.
+
+    A task combines those of a component with several members (``grouped``) before
+    they are shuffled, so a token that all copies of a text have is one row per task.
+    """
+    columns = ["token", "part", "least", "most", "room", "index"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, combined = _Seen(), {}
+
+        def flush() -> pa.RecordBatch:
+            keys, values = zip(*combined.items())
+            combined.clear()
+            token, part, index = zip(*keys)
+            least, most, room = zip(*values)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (token, part, least, most, room)] + [pa.array(index, pa.bool_())], columns)
+
+        for batch, sets in _shingled(batches):
+            alone = []
+            for k, part, grouped, s in zip(*(batch.column(c).to_pylist() for c in ("key", "part", "grouped")), sets):
+                if not len(s) or not seen.first(k):
                     continue
-                if len(seen) < 1_000_000:
-                    seen.add(k)
+                token, room, index = _prefix(s, counts.value)
                 n = len(s)
-                p = int(probe_length(n))
-                row.append(np.full(p, i))
-                token.append(_signed(_rarest_first(s, counts.value)[:p]))
-                size.append(np.full(p, n))
-                place.append(np.arange(p))
-                index.append(np.arange(p) < index_length(n))
-            if token:
-                row, size, place = np.concatenate(row), np.concatenate(size), np.concatenate(place)
-                room = (size - place) * (100 + PERCENT) // PERCENT - size
-                own = [batch.column(c).take(pa.array(row)) for c in ("key", "part")]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token)), *own, pa.array(size), pa.array(room), pa.array(np.concatenate(index))], ["token", "key", "part", "n", "room", "index"])
+                if not grouped:
+                    alone.append((token, np.full(len(token), part), np.full(len(token), n), room, np.arange(len(token)) < index))
+                    continue
+                for i, (t, r) in enumerate(zip(token.tolist(), room.tolist())):
+                    low, high, most = combined.get((t, part, i < index), (n, n, r))
+                    combined[t, part, i < index] = min(low, n), max(high, n), max(most, r)
+            if len(combined) >= held:
+                yield flush()
+            if alone:
+                token, part, n, room, index = (pa.array(np.concatenate(c)) for c in zip(*alone))
+                yield pa.RecordBatch.from_arrays([token, part, n, n, room, index], columns)
+        if combined:
+            yield flush()
 
-    return docs.select("key", "part", "text").mapInArrow(run, "token long, key string, part long, n long, room long, index boolean")
+    return docs.select("key", "part", "grouped", "text").mapInArrow(run, "token long, part long, least long, most long, room long, index boolean")
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -224,7 +282,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # Large star, then small star: links move to the least key around, until only stars are left.
         around = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+        # Settled, so that the join deals out both sides anew and can split a star's many links.
+        least = settle(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")))
         large = around.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).filter("a != b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small_ = large.join(least, "a")
@@ -260,15 +319,13 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
 
     # Step 2: the prefix join of components, by a 64-bit label of each.
     label = F.xxhash64(F.coalesce("part", "key"))
-    labelled = docs.join(small(parts), "key", "left").select("key", label.alias("part"), "text")
-    ends = prefixes(labelled, counts).groupBy("token").agg(F.min("part").alias("least"), F.max("part").alias("most"))
-    shared = settle(ends.filter("least != most").select("token"))
-    found = settle(_component_pairs(prefixes(labelled, counts).join(small(shared), "token", "left_semi")))
+    labelled = docs.join(small(parts), "key", "left").select("key", label.alias("part"), F.col("part").isNotNull().alias("grouped"), "text")
+    found = settle(_component_pairs(component_prefixes(labelled, counts)))
     if found.limit(1).count():
         members = settle(found.select(F.explode(F.array("a", "b")).alias("part")).distinct())
         inside = nodes.select("key").join(parts, "key", "left").select("key", label.alias("part")).join(members, "part", "left_semi")
         again = docs.join(small(settle(inside)), "key").select("key", "part", "text")
-        pairs = settle(_node_pairs(prefixes(again, counts).join(small(shared), "token", "left_semi")))
+        pairs = settle(_node_pairs(prefixes(again, counts)))
         parts = settle(components(stars.union(settle(verified(pairs, docs)))))
     labelled = rows.select("doc_id", "key", "n").join(parts, "key", "left").withColumn("part", F.coalesce("part", "key"))
     ids = settle(labelled.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.max("n").alias("most")))
@@ -297,12 +354,16 @@ def without_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 def _component_pairs(postings: DataFrame) -> DataFrame:
     """Pairs of components of which two members may be linked."""
+    # One shuffle, by token: what is left are tokens that two components share, which are few.
+    of_token = Window.partitionBy("token")
+    shared = postings.withColumns({"first": F.min("part").over(of_token), "last": F.max("part").over(of_token)}).filter("first != last")
     of_index = lambda c: F.when(F.col("index"), F.col(c))
-    held = postings.groupBy("token", "part").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("room"),
-        F.min(of_index("n")).alias("index_least"), F.max(of_index("n")).alias("index_most"), F.max(of_index("room")).alias("index_room"),
+    held = settle(
+        shared.groupBy("token", "part").agg(
+            F.min("least").alias("least"), F.max("most").alias("most"), F.max("room").alias("room"),
+            F.min(of_index("least")).alias("index_least"), F.max(of_index("most")).alias("index_most"), F.max(of_index("room")).alias("index_room"),
+        )
     )
-    held = settle(held)
     probe = held.select("token", F.col("part").alias("a"), "least", "most", "room")
     index = held.filter("index_least IS NOT NULL").select("token", F.col("part").alias("b"), "index_least", "index_most", "index_room")
     met = probe.join(index, "token").filter(
