@@ -10,7 +10,8 @@ text again.
    ``LONG_LINE`` words in one share a fingerprint for certain.
 2. Each fingerprint is joined with its first position, in the order of doc_id
    and line.  All later ones are matched with that one and not with each other,
-   so a line that a third of all documents hold makes one match for each.
+   so a line that a third of all documents hold makes one match for each; within
+   a document, a line is matched with its last place before.
 3. A match gives a diagonal of two documents; on it, matches are extended both
    ways to the longest runs of equal lines, and from their ends on to the words
    that the lines before and behind have in common, for a passage may start in
@@ -29,7 +30,9 @@ table gives no rows.  All other columns pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesift.llm.common import settle, small, table
@@ -62,44 +65,72 @@ def _keyed(df: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def fingerprints(hashes: Column, words: Column, window: int, long_line: int) -> Column:
-    """Positions and hashes of the window minima and of long lines; blank lines give none."""
-    placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (-i).alias("back")))
-    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - window + 1, F.lit(1)))
-    minima = F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(placed, i, window))))
-    long_ones = F.filter(placed, lambda p: F.get(words, -p.back) >= long_line)
-    return F.filter(F.array_union(minima, long_ones), lambda p: F.get(words, -p.back) > 0)
+    """Positions of the window minima and of long lines; blank lines are none.
+
+    ``hashes`` and ``words`` are columns as they stand in the table: inside a
+    lambda an expression would be evaluated again for each line.
+    """
+    n = F.size(hashes)
+
+    def chosen(i: Column) -> Column:
+        own = F.get(hashes, i)
+        least = F.lit(False)
+        for start in range(1 - window, 1):
+            inside = (i + start >= 0) & (i + start + window <= n)
+            beside = [own <= F.get(hashes, i + start + j) for j in range(window) if start + j != 0]
+            least |= inside & reduce(lambda a, b: a & b, beside)
+        return (F.get(words, i) > 0) & (least | (F.get(words, i) >= long_line) | ((n < window) & (own == F.array_min(hashes))))
 
+    return F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(chosen(i), F.lit(False)))
 
-def repeated_runs(lines: DataFrame, window: int = WINDOW, long_line: int = LONG_LINE) -> DataFrame:
-    """Longest runs of equal lines that repeat an earlier place: k, x, first, last, k0, x0, diagonal, words.
 
-    ``lines`` (settled) has k, x, hashes and words.
+def repeated_runs(lines: DataFrame, window: int = WINDOW, long_line: int = LONG_LINE, min_words: int = MIN_WORDS) -> DataFrame:
+    """Longest runs of equal lines that repeat an earlier place: k, x, k0, x0, diagonal, first, last, words, beside, start, stop.
+
+    ``lines`` (settled) has k, x, and of each line the hash, its words and its
+    characters.  ``beside`` has the words of the lines before and behind, start and
+    stop are characters.
     """
-    prints = lines.select("k", "x", F.explode(fingerprints(F.col("hashes"), F.col("words"), window, long_line)).alias("p"))
-    prints = prints.select("k", "x", F.col("p.h").alias("h"), (-F.col("p.back")).alias("i"))
-    first = prints.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "x", "i")).alias("at")).filter("n > 1")
-    first = settle(first.select("h", F.col("at.k").alias("k0"), F.col("at.x").alias("x0"), F.col("at.i").alias("i0")))
-    later = prints.join(small(first), "h").filter("(k, x, i) != (k0, x0, i0)")
-    diagonals = settle(later.select("k", "x", "k0", "x0", (F.col("i") - F.col("i0")).alias("diagonal")).distinct())
+    # Of each fingerprint also the lines beside it, and the words of the three.
+    i = F.col("i")
+    beside = [F.get("hashes", i - 1).alias("before"), F.get("hashes", i + 1).alias("behind")]
+    near = sum((F.coalesce(F.get("words", i + j), F.lit(0)) for j in (-1, 1)), F.get("words", i)).alias("near")
+    prints = lines.select("k", "x", "hashes", "words", F.explode(fingerprints(F.col("hashes"), F.col("words"), window, long_line)).alias("i"))
+    prints = prints.select("k", "x", F.get("hashes", i).alias("h"), "i", *beside, near)
+    first = prints.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "x", "i", "before", "behind")).alias("at")).filter("n > 1")
+    first = settle(first.select("h", F.col("at.k").alias("k0"), F.col("at.x").alias("x0"), F.col("at.i").alias("i0"), F.col("at.before").alias("before0"), F.col("at.behind").alias("behind0")))
+    repeated = settle(prints.join(small(first), "h"))
+    # A match whose neighbours differ is a run of one line: it only counts if that and the words beside it are enough.
+    longer = lambda before, behind: (F.col("before") == before) | (F.col("behind") == behind) | (F.col("near") >= min_words)
+    other = F.struct("k", "x") != F.struct("k0", "x0")
+    across = repeated.filter(other & F.coalesce(longer(F.col("before0"), F.col("behind0")), F.lit(False)))
+    # Where a document repeats a pair of lines, the first place is matched with other documents and the rest with the one before.
+    across = across.groupBy("k", "x", "k0", "x0", "i0", "behind").agg(F.min("i").alias("i")).select("k", "x", "k0", "x0", (i - F.col("i0")).alias("diagonal"))
+    own = Window.partitionBy("k", "x", "h").orderBy("i")
+    within = repeated.select("k", "x", "i", "before", "behind", "near", *[F.lag(c).over(own).alias(f"{c}0") for c in ("i", "before", "behind")])
+    within = within.filter(F.coalesce(longer(F.col("before0"), F.col("behind0")) & F.col("i0").isNotNull(), F.lit(False)))
+    within = within.select("k", "x", F.col("k").alias("k0"), F.col("x").alias("x0"), (i - F.col("i0")).alias("diagonal"))
+    diagonals = settle(across.union(within).distinct())
     both = diagonals.join(lines, ["k", "x"]).join(lines.select(F.col("k").alias("k0"), F.col("x").alias("x0"), F.col("hashes").alias("hashes0")), ["k0", "x0"])
+    ahead = F.sequence(F.greatest(F.lit(0), F.col("diagonal")), F.least(F.size("hashes"), F.size("hashes0") + F.col("diagonal")) - 1)
+    both = both.withColumn("equal", F.filter(ahead, lambda j: F.get("hashes", j) == F.get("hashes0", j - F.col("diagonal"))))
+    starts = F.filter("equal", lambda j, at: (at == 0) | (F.get("equal", at - 1) != j - 1))
+    ends = F.filter("equal", lambda j, at: (at == F.size("equal") - 1) | (F.get("equal", at + 1) != j + 1))
+    runs = both.select("k", "x", "k0", "x0", "diagonal", "words", "chars", F.explode(F.arrays_zip(starts.alias("first"), ends.alias("last"))).alias("run"))
+    runs = runs.select("k", "x", "k0", "x0", "diagonal", "words", "chars", "run.first", "run.last")
 
-    def equal(j: Column) -> Column:
-        # Outside of either document an element is null, and nothing is equal to it.
-        return F.coalesce((j >= 0) & (j >= F.col("diagonal")) & (F.get("hashes", j) == F.get("hashes0", j - F.col("diagonal"))), F.lit(False))
+    def total(numbers: str, start: Column, stop: Column) -> Column:
+        return F.aggregate(F.slice(numbers, start + 1, stop - start), F.lit(0), lambda a, b: a + b)
 
-    own = F.sequence(F.greatest(F.lit(0), F.col("diagonal")), F.least(F.size("hashes"), F.size("hashes0") + F.col("diagonal")) - 1)
-    starts = F.filter(own, lambda j: equal(j) & ~equal(j - 1))
-    ends = F.filter(own, lambda j: equal(j) & ~equal(j + 1))
-    runs = both.select("k", "x", "k0", "x0", "diagonal", "words", F.explode(F.arrays_zip(starts.alias("first"), ends.alias("last"))).alias("run"))
-    total = F.aggregate(F.slice("words", F.col("run.first") + 1, F.col("run.last") - F.col("run.first") + 1), F.lit(0), lambda a, b: a + b)
-    return runs.select("k", "x", "k0", "x0", "diagonal", F.col("run.first").alias("first"), F.col("run.last").alias("last"), total.alias("words"))
+    first, after = F.col("first"), F.col("last") + 1
+    beside = F.coalesce(F.get("words", first - 1), F.lit(0)) + F.coalesce(F.get("words", after), F.lit(0))
+    return runs.select("k", "x", "k0", "x0", "diagonal", "first", "last", total("words", first, after).alias("words"), beside.alias("beside"), total("chars", F.lit(0), first).alias("start"), total("chars", F.lit(0), after).alias("stop"))
 
 
 def _common(a: Column, b: Column) -> Column:
     """How many words two arrays of words have in common from the start."""
-    shortest = F.least(F.size(a), F.size(b))
-    differs = F.filter(F.sequence(F.lit(0), shortest), lambda i: (i == shortest) | (F.get(a, i) != F.get(b, i)))
-    return F.array_min(differs)
+    same = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
+    return F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(same))
 
 
 def _split_words(line: Column) -> Column:
@@ -112,22 +143,15 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", wind
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text])
     docs = _keyed(df.select(row.alias("__row"), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{doc_id}`").alias("__id")), "__text", "__id")
     units = docs.filter(F.col("__text") != "").select("k", "x", lines_of(F.col("__text")).alias("lines"))
-    trimmed = F.transform("lines", _trimmed)
-    lines = settle(units.select("k", "x", F.transform(trimmed, lambda line: F.xxhash64(line)).alias("hashes"), F.transform(trimmed, _words).alias("words")).dropDuplicates(["k", "x"]))
+    # Lines and their numbers are made in one expression each, as lambdas evaluate what they hold for each element.
+    split = units.select("k", "x", F.transform("lines", lambda u: F.struct(F.length(u).alias("chars"), _trimmed(u).alias("line"))).alias("u"))
+    facts = split.select("k", "x", F.transform("u", lambda u: F.struct(F.xxhash64(u.line).alias("h"), _words(u.line).alias("w"), u.chars.alias("c"))).alias("u"))
+    lines = settle(facts.select("k", "x", F.col("u.h").alias("hashes"), F.col("u.w").alias("words"), F.col("u.c").alias("chars")).dropDuplicates(["k", "x"]))
     # A run can grow by the words of the lines beside it; what can't reach min_words so is left out.
-    runs = repeated_runs(lines, window, long_line)
-    sizes = lines.select("k", "x", F.col("words").alias("w"))
-    beside = F.coalesce(F.get("w", F.col("first") - 1), F.lit(0)) + F.coalesce(F.get("w", F.col("last") + 1), F.lit(0))
-    runs = settle(runs.join(sizes, ["k", "x"]).filter(F.col("words") + beside >= min_words).drop("w"))
-    # The earlier document's lines beside each run.
-    edges = runs.select("k0", "x0", (F.col("first") - F.col("diagonal") - 1).alias("before"), (F.col("last") - F.col("diagonal") + 1).alias("behind")).distinct()
-    edges = edges.join(units.dropDuplicates(["k", "x"]).withColumnsRenamed({"k": "k0", "x": "x0"}), ["k0", "x0"])
-    edges = edges.select("k0", "x0", "before", "behind", F.get("lines", "before").alias("line_before"), F.get("lines", "behind").alias("line_behind"))
-    runs = runs.withColumns({"before": F.col("first") - F.col("diagonal") - 1, "behind": F.col("last") - F.col("diagonal") + 1})
-    deletions = runs.join(settle(edges), ["k0", "x0", "before", "behind"]).groupBy("k", "x").agg(F.collect_set(F.struct("first", "last", "words", "line_before", "line_behind")).alias("runs"))
-    marked = docs.join(deletions, ["k", "x"], "left").withColumn("lines", F.when(F.col("runs").isNotNull(), lines_of(F.col("__text"))))
-    spans = F.array_sort(F.filter(F.transform("runs", lambda run: _span(F.col("lines"), run)), lambda s: s.words >= min_words))
-    marked = marked.withColumn("spans", F.coalesce(spans, F.array().cast("array<struct<start:int,stop:int,words:int>>")))
+    runs = settle(repeated_runs(lines, window, long_line, min_words).filter(F.col("words") + F.col("beside") >= min_words))
+    grown = _grown(runs, units).filter(F.col("words") >= min_words)
+    spans = grown.groupBy("k", "x").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    marked = docs.join(small(settle(spans)), ["k", "x"], "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")))
     cut = F.aggregate(
         "spans",
         F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")),
@@ -136,22 +160,32 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", wind
     )
     kept = F.when(F.size("spans") == 0, F.col("__text")).otherwise(cut)
     rest = [F.col(f"__row.`{c}`") for c in df.columns if c not in (text, "removed")]
-    return marked.select(*rest, kept.alias(text), F.transform("spans", lambda s: F.struct(s.start.alias("start"), s.stop.alias("stop"))).alias("removed"))
-
-
-def _span(lines: Column, run: Column) -> Column:
-    """Characters and words of a run, with the words that the lines beside it share."""
-    ahead, after = F.coalesce(F.get(lines, run["first"] - 1), F.lit("")), F.coalesce(F.get(lines, run["last"] + 1), F.lit(""))
-    back = _common(F.reverse(_split_words(ahead)), F.reverse(_split_words(run.line_before)))
-    on = _common(_split_words(after), _split_words(run.line_behind))
+    return marked.select(*rest, kept.alias(text), F.col("spans").alias("removed"))
+
+
+def _grown(runs: DataFrame, units: DataFrame) -> DataFrame:
+    """Runs with the words that the lines beside them share in both documents: k, x, start, stop, words."""
+    first, last, diagonal = F.col("first"), F.col("last"), F.col("diagonal")
+    ends = [("k", "x", first - 1), ("k", "x", last + 1), ("k0", "x0", first - diagonal - 1), ("k0", "x0", last - diagonal + 1)]
+    needed = runs.select(F.explode(F.array(*[F.struct(F.col(k).alias("k"), F.col(x).alias("x"), i.alias("i")) for k, x, i in ends])).alias("e")).select("e.*").filter("i >= 0")
+    # A document's lines that are asked for, at most all of them.
+    needed = settle(needed.groupBy("k", "x").agg(F.collect_set("i").alias("wanted")))
+    numbered = F.transform("lines", lambda u, i: F.struct(i.alias("i"), u.alias("line")))
+    found = units.join(small(needed), ["k", "x"]).select("k", "x", F.explode(F.filter(numbered, lambda u: F.array_contains("wanted", u.i))).alias("u"))
+    found = settle(found.select("k", "x", "u.i", "u.line").dropDuplicates(["k", "x", "i"]))
+    for name, (k, x, i) in zip(("ahead", "after", "ahead0", "after0"), ends):
+        line = found.select(F.col("k").alias("lk"), F.col("x").alias("lx"), F.col("i").alias("li"), F.col("line").alias(name))
+        runs = runs.join(line, (F.col(k) == F.col("lk")) & (F.col(x) == F.col("lx")) & (i == F.col("li")), "left").drop("lk", "lx", "li")
+    runs = runs.withColumns({"ahead": F.coalesce("ahead", F.lit("")), "after": F.coalesce("after", F.lit(""))})
+    runs = runs.withColumns({"w_ahead": F.reverse(_split_words(F.col("ahead"))), "w_ahead0": F.reverse(_split_words(F.col("ahead0"))), "w_after": _split_words(F.col("after")), "w_after0": _split_words(F.col("after0"))})
+    runs = runs.withColumns({"back": _common(F.col("w_ahead"), F.col("w_ahead0")), "on": _common(F.col("w_after"), F.col("w_after0"))})
+    back, on = F.col("back"), F.col("on")
     # Whole words only, and the space in front of them stays.
-    tail = F.when(back == 0, 0).when(back == F.size(_split_words(ahead)), F.length(ahead))
-    tail = tail.otherwise(F.length(F.regexp_substr(ahead, F.concat(F.lit(r"(?<=\s)\S+(?:\s+\S+){"), (back - 1).cast("string"), F.lit(r"}\s*$")))))
-    head = F.when(on == 0, 0).when(on == F.size(_split_words(after)), F.length(after))
-    head = head.otherwise(F.length(F.regexp_substr(after, F.concat(F.lit(r"^\s*(?:\S+\s+){"), on.cast("string"), F.lit("}")))))
-    start = F.length(F.array_join(F.slice(lines, F.lit(1), run["first"]), ""))
-    stop = F.length(F.array_join(F.slice(lines, F.lit(1), run["last"] + 1), ""))
-    return F.struct((start - tail).cast("int").alias("start"), (stop + head).cast("int").alias("stop"), (run.words + back + on).cast("int").alias("words"))
+    tail = F.when(back == 0, 0).when(back == F.size("w_ahead"), F.length("ahead"))
+    tail = tail.otherwise(F.length(F.regexp_substr("ahead", F.concat(F.lit(r"(?<=\s)\S+(?:\s+\S+){"), (back - 1).cast("string"), F.lit(r"}\s*$")))))
+    head = F.when(on == 0, 0).when(on == F.size("w_after"), F.length("after"))
+    head = head.otherwise(F.length(F.regexp_substr("after", F.concat(F.lit(r"^\s*(?:\S+\s+){"), on.cast("string"), F.lit("}")))))
+    return runs.select("k", "x", (F.col("start") - tail).cast("int").alias("start"), (F.col("stop") + head).cast("int").alias("stop"), (F.col("words") + back + on).cast("int").alias("words"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

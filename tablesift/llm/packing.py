@@ -178,6 +178,30 @@ def pack(df: DataFrame, capacity: int = CAPACITY, open_windows: int = OPEN_WINDO
     return pieces.filter(F.col("part").isNull()).select(*columns).unionByName(again)
 
 
+def sequences(df: DataFrame, pieces: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, vocabulary: str | None = None) -> DataFrame:
+    """sequence_id, length and ids (packed, not padded) of each sequence of ``pieces``, the result of ``pack`` for ``df``.
+
+    A sequence has at most ``capacity`` tokens, so what is gathered for one is bounded.  doc_ids must be unique.
+    """
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding, end = _encoding(path), np.array([end_id], "<u4").tobytes()
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                rows = []
+                for text, own in zip(batch.column("text").to_pylist(), batch.column("own").to_pylist()):
+                    ids = encoding.encode_to_numpy(text or "", allowed_special=set(), disallowed_special=()).astype("<u4", copy=False).tobytes() + end
+                    rows += [(p["sequence_id"], p["offset"], ids[4 * p["start"] : 4 * (p["start"] + p["length"])]) for p in own]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["sequence_id", "offset", "ids"])
+
+    wanted = pieces.groupBy("doc_id").agg(F.collect_list(F.struct("sequence_id", "offset", "start", "length")).alias("own"))
+    parts = df.select("doc_id", text_of().alias("text")).join(wanted, "doc_id").select("text", "own").mapInArrow(cut, "sequence_id long, offset long, ids binary")
+    joined = F.concat(F.lit(b""), F.aggregate(F.array_sort(F.collect_list(F.struct("offset", "ids"))), F.lit(b""), lambda a, p: F.concat(a, p.ids)))
+    return parts.groupBy("sequence_id").agg(joined.alias("ids")).select("sequence_id", (F.octet_length("ids") / 4).cast("int").alias("length"), "ids")
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     return pack(table(spark, sf_dir, "documents"))
