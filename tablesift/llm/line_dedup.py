@@ -6,8 +6,8 @@ text again.
 
 1. Each line is hashed without the white space around it.  In every window of
    ``WINDOW`` lines the smallest hash is a fingerprint, and so is every line of
-   ``LONG_LINE`` words: two texts that share a run of lines with three lines or
-   ``LONG_LINE`` words in one share a fingerprint for certain.
+   ``LONG_LINE`` words: two texts that share a run of four lines, or a line of
+   ``LONG_LINE`` words, share a fingerprint for certain.
 2. Each fingerprint is joined with its first position, in the order of doc_id
    and line.  All later ones are matched with that one and not with each other,
    so a line that a third of all documents hold makes one match for each; within
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tablesift.llm.common import settle, small, table
 
-WINDOW = 3
+WINDOW = 4
 LONG_LINE = 13
 MIN_WORDS = 50
 #: Where lines end: behind a line feed, and behind a sentence's mark and white space.
@@ -91,24 +91,25 @@ def repeated_runs(lines: DataFrame, window: int = WINDOW, long_line: int = LONG_
     characters.  ``beside`` has the words of the lines before and behind, start and
     stop are characters.
     """
-    # Of each fingerprint also the lines beside it, and the words of the three.
     i = F.col("i")
-    beside = [F.get("hashes", i - 1).alias("before"), F.get("hashes", i + 1).alias("behind")]
-    near = sum((F.coalesce(F.get("words", i + j), F.lit(0)) for j in (-1, 1)), F.get("words", i)).alias("near")
     prints = lines.select("k", "x", "hashes", "words", F.explode(fingerprints(F.col("hashes"), F.col("words"), window, long_line)).alias("i"))
-    prints = prints.select("k", "x", F.get("hashes", i).alias("h"), "i", *beside, near)
+    # Of each fingerprint also the lines beside it, and the words of the three.
+    near = sum((F.coalesce(F.get("words", i + j), F.lit(0)) for j in (-1, 1)), F.get("words", i)).alias("near")
+    prints = prints.select("k", "x", "i", F.get("hashes", i).alias("h"), F.get("hashes", i - 1).alias("before"), F.get("hashes", i + 1).alias("behind"), near)
     first = prints.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "x", "i", "before", "behind")).alias("at")).filter("n > 1")
     first = settle(first.select("h", F.col("at.k").alias("k0"), F.col("at.x").alias("x0"), F.col("at.i").alias("i0"), F.col("at.before").alias("before0"), F.col("at.behind").alias("behind0")))
-    repeated = settle(prints.join(small(first), "h"))
     # A match whose neighbours differ is a run of one line: it only counts if that and the words beside it are enough.
-    longer = lambda before, behind: (F.col("before") == before) | (F.col("behind") == behind) | (F.col("near") >= min_words)
+    longer = (F.col("before") == F.col("before0")) | (F.col("behind") == F.col("behind0")) | (F.col("near") >= min_words)
     other = F.struct("k", "x") != F.struct("k0", "x0")
-    across = repeated.filter(other & F.coalesce(longer(F.col("before0"), F.col("behind0")), F.lit(False)))
+    across = prints.join(first, "h").filter(other & F.coalesce(longer, F.lit(False)))
     # Where a document repeats a pair of lines, the first place is matched with other documents and the rest with the one before.
     across = across.groupBy("k", "x", "k0", "x0", "i0", "behind").agg(F.min("i").alias("i")).select("k", "x", "k0", "x0", (i - F.col("i0")).alias("diagonal"))
     own = Window.partitionBy("k", "x", "h").orderBy("i")
-    within = repeated.select("k", "x", "i", "before", "behind", "near", *[F.lag(c).over(own).alias(f"{c}0") for c in ("i", "before", "behind")])
-    within = within.filter(F.coalesce(longer(F.col("before0"), F.col("behind0")) & F.col("i0").isNotNull(), F.lit(False)))
+    repeating = lines.filter(F.size(F.array_distinct("hashes")) < F.size("hashes"))
+    within = repeating.select("k", "x", "words", "hashes", F.posexplode("hashes").alias("i", "h")).filter(F.get("words", i) > 0)
+    within = within.select("k", "x", "i", "h", F.get("hashes", i - 1).alias("before"), F.get("hashes", i + 1).alias("behind"), near)
+    within = within.select("*", *[F.lag(c).over(own).alias(f"{c}0") for c in ("i", "before", "behind")])
+    within = within.filter(F.coalesce(longer & F.col("i0").isNotNull(), F.lit(False)))
     within = within.select("k", "x", F.col("k").alias("k0"), F.col("x").alias("x0"), (i - F.col("i0")).alias("diagonal"))
     diagonals = settle(across.union(within).distinct())
     both = diagonals.join(lines, ["k", "x"]).join(lines.select(F.col("k").alias("k0"), F.col("x").alias("x0"), F.col("hashes").alias("hashes0")), ["k0", "x0"])
@@ -146,7 +147,10 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", wind
     # Lines and their numbers are made in one expression each, as lambdas evaluate what they hold for each element.
     split = units.select("k", "x", F.transform("lines", lambda u: F.struct(F.length(u).alias("chars"), _trimmed(u).alias("line"))).alias("u"))
     facts = split.select("k", "x", F.transform("u", lambda u: F.struct(F.xxhash64(u.line).alias("h"), _words(u.line).alias("w"), u.chars.alias("c"))).alias("u"))
-    lines = settle(facts.select("k", "x", F.col("u.h").alias("hashes"), F.col("u.w").alias("words"), F.col("u.c").alias("chars")).dropDuplicates(["k", "x"]))
+    lines = settle(facts.select("k", "x", F.col("u.h").alias("hashes"), F.col("u.w").alias("words"), F.col("u.c").alias("chars")))
+    if lines.groupBy("k", "x").count().filter("count > 1").limit(1).count():
+        # Rows equal in doc_id and text count once.
+        lines = settle(lines.dropDuplicates(["k", "x"]))
     # A run can grow by the words of the lines beside it; what can't reach min_words so is left out.
     runs = settle(repeated_runs(lines, window, long_line, min_words).filter(F.col("words") + F.col("beside") >= min_words))
     grown = _grown(runs, units).filter(F.col("words") >= min_words)
