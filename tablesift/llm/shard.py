@@ -66,6 +66,8 @@ def domain(n: int) -> tuple[int, int]:
 
 def longest_walk(spark: SparkSession, n: int, seed: int) -> int:
     """Passes that bring every number below n back below n."""
+    if n < 1:
+        return 1
     a, b = domain(n)
     walking = spark.range(n, a * b).select(F.col("id").alias("x"))
     passes = 1
