@@ -69,7 +69,10 @@ def longest_walk(spark: SparkSession, n: int, seed: int) -> int:
     if n < 1:
         return 1
     a, b = domain(n)
-    walking = spark.range(n, a * b).select(F.col("id").alias("x"))
+    outside = spark.range(n, a * b).select(F.col("id").alias("x"))
+    # Walks come in where no number outside leads to; what is left of those outside goes round in
+    # cycles that no walk meets.
+    walking = settle(outside.join(outside.select(permuted_once(F.col("x"), n, seed).alias("x")), "x", "left_anti"))
     passes = 1
     while walking.limit(1).count():
         # Only walks that go on are kept, so the few numbers soon are none.
