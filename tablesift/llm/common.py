@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 #: Bytes of text that an Arrow worker handles at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,3 +69,4 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         stop = min(max(stop, start + 1), len(col))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()

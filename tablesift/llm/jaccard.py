@@ -183,7 +183,7 @@ class _Seen:
         return True
 
 
-def component_prefixes(docs: DataFrame, counts, held: int = 200_000) -> DataFrame:
+def component_prefixes(docs: DataFrame, counts, held: int = 50_000) -> DataFrame:
     """Postings of components: token, part, index, and the least and largest n and the largest room of members.
 
     A task combines those of a component with several members (``grouped``) before

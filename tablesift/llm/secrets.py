@@ -63,17 +63,17 @@ def weak_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def detected(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``base`` and ``weak``, arrays of spans; the text goes."""
+    """Add ``base`` and ``weak``, arrays of spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, text):
-                rest = [i for i, n in enumerate(batch.schema.names) if n not in (text, "base", "weak")]
+                rest = [i for i, n in enumerate(batch.schema.names) if n not in ("base", "weak")]
                 texts = [t or "" for t in batch.column(text).to_pylist()]
                 made = [pa.array([[dict(zip(("kind", "start", "stop"), s)) for s in spans(t)] for t in texts], _ARROW_SPANS) for spans in (base_spans, weak_spans)]
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + made, [batch.schema.names[i] for i in rest] + ["base", "weak"])
 
-    fields = [f for f in df.schema if f.name not in (text, "base", "weak")]
+    fields = [f for f in df.schema if f.name not in ("base", "weak")]
     return df.mapInArrow(run, T.StructType([*fields, T.StructField("base", T.ArrayType(_SPAN)), T.StructField("weak", T.ArrayType(_SPAN))]))
 
 
@@ -104,16 +104,16 @@ def linked(found: DataFrame, key: str, scope: int = SCOPE) -> DataFrame:
 
 def scan(df: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
     """All columns, and ``base`` and ``spans``: arrays of (kind, start, stop), by start and then kind."""
-    keyed = df.withColumn("__key", F.md5(text_of(text).cast("binary"))).withColumn("__kept", F.col(f"`{text}`"))
+    keyed = df.withColumn("__key", F.md5(text_of(text).cast("binary")))
     # Equal texts have equal spans, so parts are linked once for each text; without an
     # access identifier there is nothing to link.
-    weak = detected(keyed.filter(F.contains(text_of(text), F.lit("AKIA"))).select("__key", text), text).filter(F.size("weak") > 0)
+    weak = detected(keyed.filter(F.contains(text_of(text), F.lit("AKIA"))).select("__key", text), text).filter(F.size("weak") > 0).select("__key", "base", "weak")
     more = settle(linked(settle(weak.dropDuplicates(["__key"])), "__key", scope))
     joined = detected(keyed, text).drop("weak").join(small(more), "__key", "left")
     by_start = lambda a, b: F.when((a.start < b.start) | ((a.start == b.start) & (a.kind < b.kind)), -1).when((a.start == b.start) & (a.kind == b.kind), 0).otherwise(1)
     spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(T.ArrayType(_SPAN)))), by_start)
-    rest = [c for c in df.columns if c not in (text, "base", "spans")]
-    return joined.select(*[F.col(f"`{c}`") for c in rest], F.col("__kept").alias(text), "base", F.when(F.col("linked").isNull(), F.col("base")).otherwise(spans).alias("spans"))
+    rest = [c for c in df.columns if c not in ("base", "spans")]
+    return joined.select(*[F.col(f"`{c}`") for c in rest], "base", F.when(F.col("linked").isNull(), F.col("base")).otherwise(spans).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
