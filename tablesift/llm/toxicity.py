@@ -38,7 +38,7 @@ from tablesift.llm.common import slices, table, text_of
 from tablesift.llm.word_hash import Words
 
 MAX_TRAINING_ROWS = 8_000
-BITS = 22
+BITS = 20
 ACTIVE_TERMS = 4096
 FACTORS = 8
 #: Standard deviations from the mean that a term's share of toxic rows must differ to get weights.
@@ -91,8 +91,9 @@ def fit(row_terms: list[np.ndarray], labels: np.ndarray, active_terms: int = ACT
     rows, positive = len(labels), int(labels.sum())
     if positive == 0 or positive == rows:
         return None
-    row = np.repeat(np.arange(rows), [len(t) for t in row_terms])
-    term = np.concatenate(row_terms).astype(np.int64)
+    # The driver holds this once, in 32-bit numbers, and only the active terms after the selection.
+    row = np.repeat(np.arange(rows, dtype=np.int32), [len(t) for t in row_terms])
+    term = np.concatenate(row_terms)
     with_label = np.bincount(term, labels[row], 1 << BITS)
     seen = np.bincount(term, minlength=1 << BITS).astype(float)
     # How far a term's share of toxic rows is from all rows' share, in standard deviations.
@@ -105,6 +106,7 @@ def fit(row_terms: list[np.ndarray], labels: np.ndarray, active_terms: int = ACT
     slot[active] = np.arange(len(active))
     held = slot[term] >= 0
     row, place = row[held], slot[term[held]]
+    del term, held, with_label, seen, z
     rng = np.random.default_rng(seed)
     k = len(active)
     x = {"bias": np.array([np.log(share / (1 - share))]), "w": np.zeros(k), "v": rng.normal(0, 0.01, (k, factors))}
