@@ -1,44 +1,48 @@
-"""Repeated passages, found by winnowing over line hashes (operator 7).
-
-DataFrame operations only.  A line here is a line of the text or a sentence in
-it; each keeps its trailing white space, so that lines put together are the
-text again.
-
-1. Each line is hashed without the white space around it.  In every window of
-   ``WINDOW`` lines the smallest hash is a fingerprint, and so is every line of
-   ``LONG_LINE`` words: two texts that share a run of four lines, or a line of
-   ``LONG_LINE`` words, share a fingerprint for certain.
-2. Each fingerprint is joined with its first position, in the order of doc_id
-   and line.  All later ones are matched with that one and not with each other,
-   so a line that a third of all documents hold makes one match for each; within
-   a document, a line is matched with its last place before.
-3. A match gives a diagonal of two documents; on it, matches are extended both
-   ways to the longest runs of equal lines, and from their ends on to the words
-   that the lines before and behind have in common, for a passage may start in
-   the middle of a sentence.
-4. Runs of at least ``MIN_WORDS`` words are deleted in the later document.
-
-What is deleted stays at its first position: that is earlier than any that is
-matched with it.
-
-Defined results: null and empty texts have no lines and stay as they are; rows
+"""Repeated passages of 50 words and more, found by winnowing (operator 7).
+
+DataFrame operations only.  Words are what white space parts; passages are equal
+if their words are, so they may start and end in the middle of a line, and lines
+may be broken elsewhere.
+
+1. Each run of ``GRAM`` words is hashed.  A window of ``MIN_WORDS`` words has the
+   smallest hash of the runs in it as its fingerprint, so equal windows share
+   their fingerprint for certain.  Neighbouring windows mostly have the same one
+   and are kept as one range.
+2. Ranges whose fingerprint occurs once in the corpus repeat nothing.  The
+   windows of the others are hashed whole.  A range that is equal from end to end
+   to one of an earlier document goes at once.
+3. Where ranges of one fingerprint differ, each window hash is joined with its first position, in the order of doc_id and
+   word.  The words of a window that stands at an earlier position too are
+   deleted; windows that overlap or touch make one span.
+
+Windows are matched by their own hash, whatever stands around them: a passage
+goes also if no single earlier document holds more of it than 50 words.  Counts
+and first positions are aggregates and each window is compared with one position
+only, so work grows with the text and not with the square of a passage's copies.
+
+Within one document, a window counts as repeated only if its first place starts
+in an earlier line, a line being a line of the text or a sentence in it: one word
+written a thousand times in a line is no passage that returns.
+
+Defined results: null and empty texts have no words and stay as they are; rows
 equal in doc_id and text count as one document; rows that share a doc_id only
 are ordered by a hash of the text; a null doc_id is the last; a passage
-repeated in one document is deleted from its second position on; an empty
-table gives no rows.  All other columns pass through.
+repeated in one document is deleted from its second position on; white space in
+front of a span stays, that behind its last word goes; an empty table gives no
+rows.  All other columns pass through.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm.common import settle, small, table
 
-WINDOW = 4
-LONG_LINE = 13
+#: Words of a run that is hashed for fingerprints; a passage shares its windows' runs.
+GRAM = 16
 MIN_WORDS = 50
 #: Where lines end: behind a line feed, and behind a sentence's mark and white space.
 LINE_END = r"(?<=[.!?][ \t\r\f])|(?<=\n)"
@@ -46,120 +50,136 @@ WHITE = " \t\r\n\f\x0b"
 _LAST = (1 << 63) - 1
 
 
-def lines_of(text: Column) -> Column:
-    return F.split(text, LINE_END)
-
-
 def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(WHITE))
 
 
-def _words(line: Column) -> Column:
-    """Words of a trimmed line, by its spaces."""
-    return F.when(line == "", 0).otherwise(F.length(line) - F.length(F.translate(line, " ", "")) + 1)
-
-
 def _keyed(df: DataFrame, text: str, doc_id: str) -> DataFrame:
     """With the key of a document: ``k`` and ``x``, never null."""
     return df.withColumns({"k": F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)), "x": F.xxhash64(F.col(text))})
 
 
-def fingerprints(hashes: Column, words: Column, window: int, long_line: int) -> Column:
-    """Positions of the window minima and of long lines; blank lines are none.
+def over_runs(df: DataFrame, column: str, length: int, combine: Callable[[Column, Column], Column], held: int = 1) -> DataFrame:
+    """Each element of an array column combined with those behind it, ``length`` in all; by doubling.
 
-    ``hashes`` and ``words`` are columns as they stand in the table: inside a
-    lambda an expression would be evaluated again for each line.
+    An element stands for ``held`` words already.  The last ``length`` - 1 elements have no
+    meaning.  Each step uses the column twice, so that Spark keeps the steps apart and
+    doesn't evaluate one again for each element of the next.
     """
-    n = F.size(hashes)
-
-    def chosen(i: Column) -> Column:
-        own = F.get(hashes, i)
-        least = F.lit(False)
-        for start in range(1 - window, 1):
-            inside = (i + start >= 0) & (i + start + window <= n)
-            beside = [own <= F.get(hashes, i + start + j) for j in range(window) if start + j != 0]
-            least |= inside & reduce(lambda a, b: a & b, beside)
-        return (F.get(words, i) > 0) & (least | (F.get(words, i) >= long_line) | ((n < window) & (own == F.array_min(hashes))))
-
-    return F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(chosen(i), F.lit(False)))
-
+    while held < length:
+        step = min(held, length - held)
+        df = df.withColumn(column, F.zip_with(column, F.slice(column, step + 1, F.size(column)), combine))
+        held += step
+    return df
+
+
+def _hashed(units: DataFrame, gram: int) -> DataFrame:
+    """Words of each text that has enough, as ``n`` and ``grams``: hashes of runs; other columns stay, the text goes."""
+    rest = [c for c in units.columns if c != "__text"]
+    split = units.select(*rest, F.split(_trimmed(F.col("__text")), r"\s+").alias("w"))
+    hashed = split.select(*rest, F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("grams"))
+    return over_runs(hashed, "grams", gram, lambda a, b: F.xxhash64(a, b))
+
+
+def fingerprints(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+    """Of each document: k, x, n words, ``twice`` if a run of words returns in it, ``starts`` and ``prints`` of its ranges of windows."""
+    hashed = _hashed(units, gram).filter(F.col("n") >= min_words)
+    whole = F.slice("grams", 1, F.col("n") - (gram - 1))
+    hashed = hashed.withColumn("twice", F.size(F.array_distinct(whole)) < F.size(whole))
+    least = over_runs(hashed, "grams", min_words - gram + 1, lambda a, b: F.least(a, b))
+    new = lambda i: (i == 0) | (F.get("grams", i) != F.get("grams", i - 1))
+    starts = F.filter(F.sequence(F.lit(0), F.col("n") - min_words), lambda i: F.coalesce(new(i), F.lit(True)))
+    least = least.select("k", "x", "n", "twice", "grams", starts.alias("starts"))
+    # starts is used twice so that it is evaluated once.
+    prints = F.slice(F.transform("starts", lambda i: F.get("grams", i)), 1, F.size("starts"))
+    return least.select("k", "x", "n", "twice", "starts", prints.alias("prints"))
+
+
+def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+    """Windows of ``min_words`` words that an earlier place has: k, x, first, last, ranges of the numbers of their first words.
+
+    ``units`` has k, x and __text, no two rows with the same k and x.
+    """
+    prints = settle(fingerprints(units, min_words, gram))
+    again = prints.select(F.explode("prints").alias("h")).groupBy("h").count().filter("count > 1").select("h")
+    stop = lambda j: F.coalesce(F.get("starts", j + 1), F.col("n") - (min_words - 1)) - 1
+    ranges = prints.select("k", "x", "twice", F.explode(F.transform("starts", lambda i, j: F.struct(i.alias("first"), stop(j).alias("last"), F.get("prints", j).alias("h")))).alias("r"))
+    ranges = ranges.select("k", "x", "twice", "r.first", "r.last", "r.h")
+    # A document in which a run of words returns may repeat itself within one range.
+    wanted = ranges.filter("not twice").join(small(settle(again)), "h").unionByName(ranges.filter("twice"))
+    wanted = settle(wanted.groupBy("k", "x", "twice").agg(F.collect_list(F.struct("first", "last", "h")).alias("ranges")))
+    found = units.join(small(wanted), ["k", "x"])
+    # The line of each word, where a document may repeat itself.
+    by_line = F.transform(F.split("__text", LINE_END), lambda u: _trimmed(u))
+    per_word = F.flatten(F.transform(by_line, lambda u, i: F.when(u == "", F.array().cast("array<int>")).otherwise(F.array_repeat(i, F.size(F.split(u, r"\s+"))))))
+    found = found.withColumn("of_word", F.when(F.col("twice"), per_word))
+    whole = over_runs(_hashed(found, gram), "grams", min_words, lambda a, b: F.xxhash64(a, b), held=gram)
+    numbers = lambda r: F.sequence(r["first"], r["last"])
+    rows = F.transform(
+        "ranges",
+        lambda r: F.struct(
+            r["h"].alias("h"),
+            F.xxhash64(F.get("grams", r["first"]), F.get("grams", r["last"]), r["last"] - r["first"]).alias("whole"),
+            r["first"].alias("first"),
+            F.transform(numbers(r), lambda p: F.get("grams", p)).alias("hashes"),
+            F.when(F.col("twice"), F.transform(numbers(r), lambda p: F.get("of_word", p))).alias("lines"),
+        ),
+    )
+    parts = settle(whole.select("k", "x", "twice", F.explode(rows).alias("r")).select("k", "x", "twice", "r.*"))
+    # Most ranges are equal from end to end where they share a fingerprint: those are compared as one.
+    kinds = settle(parts.groupBy("h", "whole").agg(F.min(F.struct("k", "x")).alias("at"), F.max("twice").alias("any_twice")))
+    alike = kinds.groupBy("h").agg(((F.count(F.lit(1)) > 1) | F.max("any_twice")).alias("mixed"))
+    kinds = small(settle(kinds.join(alike, "h").select("h", "whole", "at", "mixed")))
+    known = parts.join(kinds, ["h", "whole"])
+    other = (F.col("k") != F.col("at.k")) | (F.col("x") != F.col("at.x"))
+    ranges = known.filter(~F.col("twice") & other).select("k", "x", "first", (F.col("first") + F.size("hashes") - 1).alias("last"))
+    # Of the rest, the windows of the first of each kind, and of documents that may repeat themselves.
+    rows = F.transform("hashes", lambda h, j: F.struct((F.col("first") + j).alias("p"), h.alias("h"), F.coalesce(F.get("lines", j), F.lit(0)).alias("line")))
+    windows = known.filter(F.col("twice") | (F.col("mixed") & ~other)).select("k", "x", F.explode(rows).alias("r"))
+    windows = settle(windows.select("k", "x", "r.p", "r.h", "r.line"))
+    first = windows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "x", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
+    windows = windows.join(small(settle(first)), "h").filter(other | (F.col("line") > F.col("at.line")))
+    return ranges.union(windows.select("k", "x", "p", "p"))
+
+
+def _merged(windows: DataFrame, min_words: int) -> DataFrame:
+    """Spans of words, put together where windows overlap or touch: k, x, ``bounds`` with start and end in turn."""
+    ranges = windows.groupBy("k", "x").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("rs"))
+    starts = F.filter("rs", lambda r, i: (i == 0) | (F.get("rs", i - 1)["last"] + min_words < r["first"]))
+    stops = F.filter("rs", lambda r, i: (i == F.size("rs") - 1) | (F.get("rs", i + 1)["first"] > r["last"] + min_words))
+    both = F.flatten(F.zip_with(starts, stops, lambda a, b: F.array(a["first"], b["last"] + min_words)))
+    return ranges.select("k", "x", both.alias("bounds"))
+
+
+def _places(text: Column, bounds: Column) -> Column:
+    """Characters at which spans of words start and end, in turn; one pass over the words, each with the white space behind it."""
+    ahead = F.when(F.rlike(text, F.lit(r"^\s")), 1).otherwise(0)
+    at = lambda a: F.get(bounds, F.size(a.out)) + ahead == a.w
+    return F.aggregate(
+        F.split(text, r"(?<=\s)(?=\S)"),
+        F.struct(F.lit(0).alias("w"), F.lit(0).alias("c"), F.array().cast("array<int>").alias("out")),
+        lambda a, t: F.struct((a.w + 1).alias("w"), (a.c + F.length(t)).alias("c"), F.when(at(a), F.concat(a.out, F.array(a.c))).otherwise(a.out).alias("out")),
+        lambda a: F.when(F.size(a.out) < F.size(bounds), F.concat(a.out, F.array(a.c))).otherwise(a.out),
+    )
 
-def repeated_runs(lines: DataFrame, window: int = WINDOW, long_line: int = LONG_LINE, min_words: int = MIN_WORDS) -> DataFrame:
-    """Longest runs of equal lines that repeat an earlier place: k, x, k0, x0, diagonal, first, last, words, beside, start, stop.
 
-    ``lines`` (settled) has k, x, and of each line the hash, its words and its
-    characters.  ``beside`` has the words of the lines before and behind, start and
-    stop are characters.
-    """
-    i = F.col("i")
-    prints = lines.select("k", "x", "hashes", "words", F.explode(fingerprints(F.col("hashes"), F.col("words"), window, long_line)).alias("i"))
-    # Of each fingerprint also the lines beside it, and the words of the three.
-    near = sum((F.coalesce(F.get("words", i + j), F.lit(0)) for j in (-1, 1)), F.get("words", i)).alias("near")
-    prints = prints.select("k", "x", "i", F.get("hashes", i).alias("h"), F.get("hashes", i - 1).alias("before"), F.get("hashes", i + 1).alias("behind"), near)
-    first = prints.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "x", "i", "before", "behind")).alias("at")).filter("n > 1")
-    first = settle(first.select("h", F.col("at.k").alias("k0"), F.col("at.x").alias("x0"), F.col("at.i").alias("i0"), F.col("at.before").alias("before0"), F.col("at.behind").alias("behind0")))
-    # A match whose neighbours differ is a run of one line: it only counts if that and the words beside it are enough.
-    longer = (F.col("before") == F.col("before0")) | (F.col("behind") == F.col("behind0")) | (F.col("near") >= min_words)
-    other = F.struct("k", "x") != F.struct("k0", "x0")
-    across = prints.join(first, "h").filter(other & F.coalesce(longer, F.lit(False)))
-    # Where a document repeats a pair of lines, the first place is matched with other documents and the rest with the one before.
-    across = across.groupBy("k", "x", "k0", "x0", "i0", "behind").agg(F.min("i").alias("i")).select("k", "x", "k0", "x0", (i - F.col("i0")).alias("diagonal"))
-    own = Window.partitionBy("k", "x", "h").orderBy("i")
-    repeating = lines.filter(F.size(F.array_distinct("hashes")) < F.size("hashes"))
-    within = repeating.select("k", "x", "words", "hashes", F.posexplode("hashes").alias("i", "h")).filter(F.get("words", i) > 0)
-    within = within.select("k", "x", "i", "h", F.get("hashes", i - 1).alias("before"), F.get("hashes", i + 1).alias("behind"), near)
-    within = within.select("*", *[F.lag(c).over(own).alias(f"{c}0") for c in ("i", "before", "behind")])
-    within = within.filter(F.coalesce(longer & F.col("i0").isNotNull(), F.lit(False)))
-    within = within.select("k", "x", F.col("k").alias("k0"), F.col("x").alias("x0"), (i - F.col("i0")).alias("diagonal"))
-    diagonals = settle(across.union(within).distinct())
-    both = diagonals.join(lines, ["k", "x"]).join(lines.select(F.col("k").alias("k0"), F.col("x").alias("x0"), F.col("hashes").alias("hashes0")), ["k0", "x0"])
-    ahead = F.sequence(F.greatest(F.lit(0), F.col("diagonal")), F.least(F.size("hashes"), F.size("hashes0") + F.col("diagonal")) - 1)
-    both = both.withColumn("equal", F.filter(ahead, lambda j: F.get("hashes", j) == F.get("hashes0", j - F.col("diagonal"))))
-    starts = F.filter("equal", lambda j, at: (at == 0) | (F.get("equal", at - 1) != j - 1))
-    ends = F.filter("equal", lambda j, at: (at == F.size("equal") - 1) | (F.get("equal", at + 1) != j + 1))
-    runs = both.select("k", "x", "k0", "x0", "diagonal", "words", "chars", F.explode(F.arrays_zip(starts.alias("first"), ends.alias("last"))).alias("run"))
-    runs = runs.select("k", "x", "k0", "x0", "diagonal", "words", "chars", "run.first", "run.last")
-
-    def total(numbers: str, start: Column, stop: Column) -> Column:
-        return F.aggregate(F.slice(numbers, start + 1, stop - start), F.lit(0), lambda a, b: a + b)
-
-    first, after = F.col("first"), F.col("last") + 1
-    beside = F.coalesce(F.get("words", first - 1), F.lit(0)) + F.coalesce(F.get("words", after), F.lit(0))
-    return runs.select("k", "x", "k0", "x0", "diagonal", "first", "last", total("words", first, after).alias("words"), beside.alias("beside"), total("chars", F.lit(0), first).alias("start"), total("chars", F.lit(0), after).alias("stop"))
-
-
-def _common(a: Column, b: Column) -> Column:
-    """How many words two arrays of words have in common from the start."""
-    same = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
-    return F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(same))
-
-
-def _split_words(line: Column) -> Column:
-    clean = _trimmed(F.coalesce(line, F.lit("")))
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, r"\s+"))
-
-
-def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, long_line: int = LONG_LINE, min_words: int = MIN_WORDS) -> DataFrame:
-    """``df`` with later repeats deleted from ``text``; adds ``removed``, structs of character start and end in the old text, and ``removed_words``."""
+def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+    """``df`` with later repeats deleted from ``text``; adds ``removed``, structs of character start and end in the old text."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text])
     docs = _keyed(df.select(row.alias("__row"), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{doc_id}`").alias("__id")), "__text", "__id")
-    units = docs.filter(F.col("__text") != "").select("k", "x", lines_of(F.col("__text")).alias("lines"))
-    # Lines and their numbers are made in one expression each, as lambdas evaluate what they hold for each element.
-    split = units.select("k", "x", F.transform("lines", lambda u: F.struct(F.length(u).alias("chars"), _trimmed(u).alias("line"))).alias("u"))
-    facts = split.select("k", "x", F.transform("u", lambda u: F.struct(F.xxhash64(u.line).alias("h"), _words(u.line).alias("w"), u.chars.alias("c"))).alias("u"))
-    lines = settle(facts.select("k", "x", F.col("u.h").alias("hashes"), F.col("u.w").alias("words"), F.col("u.c").alias("chars")))
-    if lines.groupBy("k", "x").count().filter("count > 1").limit(1).count():
+    units = docs.filter(F.length("__text") >= 2 * min_words - 1).select("k", "x", "__text")
+    if units.groupBy("k", "x").count().filter("count > 1").limit(1).count():
         # Rows equal in doc_id and text count once.
-        lines = settle(lines.dropDuplicates(["k", "x"]))
-    # A run can grow by the words of the lines beside it; what can't reach min_words so is left out.
-    runs = settle(repeated_runs(lines, window, long_line, min_words).filter(F.col("words") + F.col("beside") >= min_words))
-    grown = _grown(runs, units).filter(F.col("words") >= min_words)
-    spans = grown.groupBy("k", "x").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
-    marked = docs.join(small(settle(spans)), ["k", "x"], "left").withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")))
+        units = units.dropDuplicates(["k", "x"])
+    bounds = _merged(repeated_windows(units, min_words, gram), min_words)
+    marked = docs.join(small(settle(bounds)), ["k", "x"], "left")
+    marked = marked.withColumn("places", F.when(F.col("bounds").isNotNull(), _places(F.col("__text"), F.col("bounds"))))
+    spans = F.transform(F.sequence(F.lit(0), F.size("places") - 2, F.lit(2)), lambda i: F.struct(F.get("places", i).alias("start"), F.get("places", i + 1).alias("stop")))
+    marked = marked.withColumn("spans", F.when(F.col("places").isNull(), F.array().cast("array<struct<start:int,stop:int>>")).otherwise(spans))
     cut = F.aggregate(
         "spans",
         F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")),
-        lambda a, s: F.struct(F.concat(a.kept, F.when(s.start > a["at"], F.substring("__text", a["at"] + 1, s.start - a["at"])).otherwise("")).alias("kept"), F.greatest(a["at"], s.stop).alias("at")),
+        lambda a, s: F.struct(F.concat(a.kept, F.substring("__text", a["at"] + 1, s.start - a["at"])).alias("kept"), s.stop.alias("at")),
         lambda a: F.concat(a.kept, F.substring("__text", a["at"] + 1, F.length("__text"))),
     )
     kept = F.when(F.size("spans") == 0, F.col("__text")).otherwise(cut)
@@ -167,31 +187,6 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", wind
     return marked.select(*rest, kept.alias(text), F.col("spans").alias("removed"))
 
 
-def _grown(runs: DataFrame, units: DataFrame) -> DataFrame:
-    """Runs with the words that the lines beside them share in both documents: k, x, start, stop, words."""
-    first, last, diagonal = F.col("first"), F.col("last"), F.col("diagonal")
-    ends = [("k", "x", first - 1), ("k", "x", last + 1), ("k0", "x0", first - diagonal - 1), ("k0", "x0", last - diagonal + 1)]
-    needed = runs.select(F.explode(F.array(*[F.struct(F.col(k).alias("k"), F.col(x).alias("x"), i.alias("i")) for k, x, i in ends])).alias("e")).select("e.*").filter("i >= 0")
-    # A document's lines that are asked for, at most all of them.
-    needed = settle(needed.groupBy("k", "x").agg(F.collect_set("i").alias("wanted")))
-    numbered = F.transform("lines", lambda u, i: F.struct(i.alias("i"), u.alias("line")))
-    found = units.join(small(needed), ["k", "x"]).select("k", "x", F.explode(F.filter(numbered, lambda u: F.array_contains("wanted", u.i))).alias("u"))
-    found = settle(found.select("k", "x", "u.i", "u.line").dropDuplicates(["k", "x", "i"]))
-    for name, (k, x, i) in zip(("ahead", "after", "ahead0", "after0"), ends):
-        line = found.select(F.col("k").alias("lk"), F.col("x").alias("lx"), F.col("i").alias("li"), F.col("line").alias(name))
-        runs = runs.join(line, (F.col(k) == F.col("lk")) & (F.col(x) == F.col("lx")) & (i == F.col("li")), "left").drop("lk", "lx", "li")
-    runs = runs.withColumns({"ahead": F.coalesce("ahead", F.lit("")), "after": F.coalesce("after", F.lit(""))})
-    runs = runs.withColumns({"w_ahead": F.reverse(_split_words(F.col("ahead"))), "w_ahead0": F.reverse(_split_words(F.col("ahead0"))), "w_after": _split_words(F.col("after")), "w_after0": _split_words(F.col("after0"))})
-    runs = runs.withColumns({"back": _common(F.col("w_ahead"), F.col("w_ahead0")), "on": _common(F.col("w_after"), F.col("w_after0"))})
-    back, on = F.col("back"), F.col("on")
-    # Whole words only, and the space in front of them stays.
-    tail = F.when(back == 0, 0).when(back == F.size("w_ahead"), F.length("ahead"))
-    tail = tail.otherwise(F.length(F.regexp_substr("ahead", F.concat(F.lit(r"(?<=\s)\S+(?:\s+\S+){"), (back - 1).cast("string"), F.lit(r"}\s*$")))))
-    head = F.when(on == 0, 0).when(on == F.size("w_after"), F.length("after"))
-    head = head.otherwise(F.length(F.regexp_substr("after", F.concat(F.lit(r"^\s*(?:\S+\s+){"), on.cast("string"), F.lit("}")))))
-    return runs.select("k", "x", (F.col("start") - tail).cast("int").alias("start"), (F.col("stop") + head).cast("int").alias("stop"), (F.col("words") + back + on).cast("int").alias("words"))
-
-
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages of 50 words and more that an earlier one has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

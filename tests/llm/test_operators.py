@@ -379,6 +379,63 @@ def test_long_repetitive_texts(spark):
     assert got[1].startswith("same line again.\n") and len(got[1]) < 100 and got[2].startswith("la la. ")
 
 
+def plain_passages(rows, n=50):
+    """Spans of words of which each window of n words stands at an earlier place, by a plain search; rows in order, no repeats within a line."""
+    first, out = {}, {}
+    for doc, text in rows:
+        words = [m.span() for m in re.finditer(r"[^ \t\n\r\f\x0b]+", text or "")]
+        again = set()
+        for p in range(len(words) - n + 1):
+            window = tuple(text[a:b] for a, b in words[p : p + n])
+            ends = re.compile(r"[.!?][ \t\r\f]|\n")
+            at, q = first.setdefault(window, (doc, words[p][0]))
+            if at != doc or q < words[p][0] and ends.search(text, q, words[p][0]):
+                again.update(range(p, p + n))
+        out[doc] = "".join(c for i, c in enumerate(text or "") if not any(words[w][0] <= i < (words[w + 1][0] if w + 1 < len(words) else len(text)) for w in again)) if again else text
+    return out
+
+
+def test_passages_are_found_whatever_an_earlier_document_holds(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    some = lambda n: " ".join(word() for _ in range(n))
+    lines = [some(10) + ".\n" for _ in range(6)]
+    edited = [*lines[:2], lines[2].replace(lines[2].split()[4], "other"), *lines[3:]]
+    rows = [(i, some(20) + ".\n" + "".join(block) + some(20) + ".") for i, block in ((1, edited), (2, lines), (3, lines))]
+    # Four lines that stand one by one in earlier documents.
+    four = [some(15) + ".\n" for _ in range(4)]
+    rows += [(10 + i, some(30) + ".\n" + line + some(30) + ".") for i, line in enumerate(four)]
+    rows += [(i, some(9) + ".\n" + "".join(four) + some(9) + ".") for i in (20, 21)]
+    got = {r.doc_id: r.text for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+    assert got == plain_passages(rows) and lines[2] not in got[3] and four[1] not in got[21] and got[2] == rows[1][1]
+
+
+def test_passages_inside_lines_and_across_blank_lines(spark):
+    rng = random.Random(6)
+    some = lambda n: " ".join(f"w{rng.randrange(10**7)}" for _ in range(n))
+    inside = [some(7), *[some(12) for _ in range(3)], some(7)]
+    tail, head = some(25), some(25)
+    apart, short = some(50), some(49)
+    again = some(60)
+    rows = []
+    for i in (1, 2):
+        rows.append((i, f"{some(9)} " + ". ".join(inside) + f" {some(9)}."))
+        rows.append((10 + i, f"{some(9)} {tail}. {head} {some(9)}."))
+        rows.append((20 + i, f" {some(30)} {apart}"))
+        rows.append((30 + i, f"{some(30)} {short} {some(30)}"))
+        rows.append((40 + i, "\n\n\n".join(again.split(" ")[j : j + 5 * i] and " ".join(again.split(" ")[j : j + 5 * i]) for j in range(0, 60, 5 * i))))
+    rows.append((60, f"{some(5)}\n{again[::-1]}\n{some(5)} {again[::-1]} {some(3)}"))
+    rows.sort()
+    got = {r.doc_id: r.text for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+    assert got == plain_passages(rows)
+    assert inside[2] not in got[2] and head not in got[12] and apart not in got[22] and short in got[32] and got[42] == "" and got[60].count(again[::-1]) == 1
+
+
+def test_op7_against_plain_search(spark, sf_dir):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    assert {r.doc_id: r.text for r in QUERIES["op7_line_dedup"](spark, sf_dir).collect()} == plain_passages(rows)
+
+
 # 8
 
 
