@@ -39,7 +39,7 @@ KINDS = ("assign", "access", "hex", "secret", "endpoint")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/_=-])")
+_MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"(?:https?|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|\b[a-z0-9.-]+\.(?:amazonaws\.com|windows\.net|googleapis\.com)\b")
 
 _SPAN = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
