@@ -1,18 +1,19 @@
 """License scans by conditional compression (operator 8).
 
-A text is cut into blocks of lines.  Blocks in which a word that licenses use
-occurs are candidates; each is compressed with zstandard, alone and with every
-license template as raw dictionary.  Wording that is in the template costs next
-to nothing then, so the templates are ranked by how much smaller the block
-gets.  Winners are confirmed by their exact wording: the words of the template
-and of the block are aligned, and the share of the template's words that the
-block has in order must reach ``LEAST_SHARE``; what is missing or different is
-reported.
+Around each word that licenses use, before and behind it, overlapping windows of
+words are compared with every template; a window is twice as long as the template
+and starts every half of one, whatever the lines are, so a notice isn't cut.  A
+window whose words can't reach ``LEAST_SHARE`` in any order is passed over.  In
+the others the words of template and window are aligned, and the share of the
+template's words that the window has in order must reach ``LEAST_SHARE``; what is
+missing or different is reported.  Each notice is compressed with zstandard, alone
+and with the template as raw dictionary: of templates equally near at one place,
+the one that makes it smaller counts.
 
 Each text is worked off on its own in Arrow batches; nothing is shuffled, and
-a task holds the templates and one block.
+a task holds the templates and one text.
 
-Defined results: null and empty texts have no blocks and no rows; a text of any
+Defined results: null and empty texts have no rows; a text of any
 length is read whole; equal rows give equal rows; of templates that gain the
 same the first by name wins; an empty table gives no rows.  Other columns are
 not read.
@@ -21,6 +22,8 @@ not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -31,12 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablesift.llm.common import slices, table
 
-#: Lines of a block; neighbouring blocks share half of them, so that a notice isn't cut.
-BLOCK_LINES = 12
-#: Share of a template's words that must stand in the block, in order.
+#: Share of a template's words that must stand in the window, in order.
 LEAST_SHARE = 0.8
-#: Templates with the largest reductions whose wording is compared.
-RANKED = 3
 LEVEL = 3
 
 # Short license notices, by name.
@@ -75,62 +74,59 @@ def _prepared(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, list[st
     return out
 
 
-def candidate_blocks(text: str, lines: int = BLOCK_LINES) -> Iterator[tuple[int, str]]:
-    """Start and text of the blocks around each cue: the line it is in, and the lines behind it."""
-    start, upto = 0, -1
-    for cue in _CUE.finditer(text):
-        start = text.rfind("\n", 0, cue.start()) + 1
-        if cue.start() < upto:
-            continue
-        stop = start
-        for _ in range(lines):
-            stop = text.find("\n", stop) + 1
-            if not stop:
-                stop = len(text)
-                break
-        upto = stop
-        yield start, text[start:stop]
-
-
-def confirmed(template: list[str], block: str) -> tuple[float, int, int, str]:
-    """Share of the template's words that the block has in order, where they stand, and the words that differ."""
-    spans = [m.span() for m in _WORD.finditer(block.lower())]
-    own = [block.lower()[a:b] for a, b in spans]
+def candidate_windows(cues: list[int], n: int, length: int) -> Iterator[tuple[int, int]]:
+    """First and last word, exclusive, of overlapping windows for a template of ``length`` words, on both sides of each cue."""
+    wide, step, upto = 2 * length, max(1, length // 2), -1
+    for cue in cues:
+        for at in range(max(0, cue - wide) // step * step, min(n, cue + length), step):
+            if at > upto:
+                yield at, min(n, at + wide)
+                upto = at
+
+
+def confirmed(template: list[str], own: list[str]) -> tuple[float, int, int, str]:
+    """Share of the template's words that the window has in order, its first and last word there, and the words that differ."""
     matches = [m for m in SequenceMatcher(None, template, own, autojunk=False).get_matching_blocks() if m.size]
     if not matches:
         return 0.0, 0, 0, " ".join(template)
     held = {i for m in matches for i in range(m.a, m.a + m.size)}
-    first, last = matches[0].b, matches[-1].b + matches[-1].size - 1
-    return len(held) / len(template), spans[first][0], spans[last][1], " ".join(w for i, w in enumerate(template) if i not in held)
+    return len(held) / len(template), matches[0].b, matches[-1].b + matches[-1].size - 1, " ".join(w for i, w in enumerate(template) if i not in held)
 
 
 def licenses_in(text: str, templates: dict[str, str] = TEMPLATES) -> list[tuple[str, int, int, float, float, str]]:
     """License, start, end, reduction, share and missing words of each notice in a text."""
-    found: dict[tuple[str, int, int], tuple] = {}
+    spans = [m.span() for m in _WORD.finditer(text)]
+    own = [text[a:b].lower() for a, b in spans]
+    starts = [a for a, _ in spans]
+    cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in _CUE.finditer(text)})
     plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
-    for start, block in candidate_blocks(text):
-        for at, line in _windows(block):
-            raw = line.lower().encode()
-            alone = len(plain.compress(raw))
-            gains = sorted(((1 - len(c.compress(raw)) / alone, name, own) for name, own, c in _prepared(tuple(templates.items()))), key=lambda g: (-g[0], g[1]))
-            # Of the best by compression, the one whose wording is nearest.
-            compared = [(*confirmed(own, line), gain, name) for gain, name, own in gains[:RANKED]]
-            share, a, b, missing, gain, name = max(compared, key=lambda c: (c[0], c[4]))
+    found: list[tuple[str, int, int, float, float, str]] = []
+    for name, template, compressor in _prepared(tuple(templates.items())):
+        bag, kept = Counter(template), []
+        for first, after in candidate_windows(cues, len(own), len(template)):
+            window = own[first:after]
+            # The share can't be larger than that of the words in any order.
+            if sum((bag & Counter(w for w in window if w in bag)).values()) < LEAST_SHARE * len(template):
+                continue
+            share, a, b, missing = confirmed(template, window)
             if share >= LEAST_SHARE:
-                found.setdefault((name, start + at + a, start + at + b), (name, start + at + a, start + at + b, gain, share, missing))
-    return sorted(found.values(), key=lambda f: (f[1], f[2], f[0]))
-
-
-def _windows(block: str) -> Iterator[tuple[int, str]]:
-    """The lines with a cue, and the whole block where a notice may go over several lines."""
-    at = 0
-    lines = block.splitlines(keepends=True)
-    for line in lines:
-        if _CUE.search(line):
-            yield at, line
-        at += len(line)
-    if len(lines) > 1:
-        yield 0, block
+                kept.append((share, first + a, first + b, missing))
+        taken: list[tuple[int, int]] = []
+        for share, a, b, missing in sorted(kept, key=lambda k: (-k[0], k[2] - k[1], k[1])):
+            if any(a <= d and c <= b for c, d in taken):
+                continue
+            taken.append((a, b))
+            start, stop = spans[a][0], spans[b][1]
+            raw = text[start:stop].lower().encode(errors="replace")
+            found.append((name, start, stop, 1 - len(compressor.compress(raw)) / len(plain.compress(raw)), share, missing))
+    return sorted((f for f in found if not any(_better(g, f) for g in found)), key=lambda f: (f[1], f[2], f[0]))
+
+
+def _better(g: tuple, f: tuple) -> bool:
+    """Notice g stands where f does and its wording is nearer; at the same place and share, what gains more and then the first by name."""
+    if g[0] == f[0] or g[1] > f[1] or g[2] < f[2]:
+        return False
+    return g[4] > f[4] or (g[4] == f[4] and g[1:3] == f[1:3] and (-g[3], g[0]) < (-f[3], f[0]))
 
 
 def scan(df: DataFrame, text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:

@@ -452,6 +452,24 @@ def test_licenses(spark, edge, empty):
     assert licenses.scan(twice).count() == 2
 
 
+def test_notices_are_whole_wherever_they_stand():
+    def names(text):
+        return [(f[0], f[4]) for f in licenses.licenses_in(text)]
+
+    t = licenses.TEMPLATES
+    wrap = lambda text, n: [" * " + " ".join(text.split()[i : i + n]) + "\n" for i in range(0, len(text.split()), n)]
+    late = "".join(f" * Copyright {y} the authors of file {y}\n" for y in range(2000, 2009)) + "".join(wrap(t["MIT-notice"], 9))
+    assert ("MIT-notice", 1.0) in names(late)
+    mpl = "/* " + t["MPL-2.0"].replace("Mozilla Public ", "Mozilla Public\n * ").replace("MPL was ", "MPL was\n * ")
+    assert names(mpl) == [("MPL-2.0", 1.0)]
+    assert names(f"{t['MIT']} {t['GPL-3.0']}") == [("MIT", 1.0), ("GPL-3.0", 1.0)]
+    assert [n for n, _ in names(f"{t['MIT']} or else {t['MIT']}")] == ["MIT", "MIT"]
+    both = "".join(wrap(t["ISC"], 12) + wrap(t["GPL-3.0-notice"], 12))
+    assert names(both) == [("ISC", 1.0), ("GPL-3.0-notice", 1.0)]
+    assert names("word " * 3000 + t["ISC"] + " word" * 3000) == [("ISC", 1.0)]
+    assert names(t["CC-BY-NC-4.0"]) == [("CC-BY-NC-4.0", 1.0)]
+
+
 def test_op8_finds_every_notice(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     want = {r.doc_id for r in texts if any(licenses.TEMPLATES[n] in r.text for n in ("MIT", "GPL-3.0", "Apache-2.0", "CC-BY-NC-4.0"))}
