@@ -43,13 +43,15 @@ def rewritten(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, parts: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``limit`` rows, else as it is.
 
     ``df`` should be settled, for it is counted first.  Meant for thin rows
-    (a key and a number or two), so the limit bounds the bytes as well.
+    (a key and a number or two), so the limit bounds the bytes as well.  Where rows
+    hold an array, ``parts`` names it, and its elements count as rows do.
     """
-    return F.broadcast(df) if df.count() <= limit else df
+    count = df.agg(F.count(F.lit(1)) + (F.coalesce(F.sum(F.size(parts)), F.lit(0)) if parts else F.lit(0))).first()[0]
+    return F.broadcast(df) if count <= limit else df
 
 
 def text_of(name: str = "text") -> Column:

@@ -2,20 +2,24 @@
 
 DataFrame operations only.  Words are what white space parts; passages are equal
 if their words are, so they may start and end in the middle of a line, and lines
-may be broken elsewhere.
-
-1. Each run of ``GRAM`` words is hashed.  A window of ``MIN_WORDS`` words has the
-   smallest hash of the runs in it as its fingerprint, so equal windows share
-   their fingerprint for certain.  Neighbouring windows mostly have the same one
-   and are kept as one range.
-2. Ranges whose fingerprint occurs once in the corpus repeat nothing.  The
-   windows of the others are hashed whole.  A range that is equal from end to end
-   to one of an earlier document goes at once.
-3. Where ranges of one fingerprint differ, each window hash is joined with its first position, in the order of doc_id and
-   word.  The words of a window that stands at an earlier position too are
-   deleted; windows that overlap or touch make one span.
-
-Windows are matched by their own hash, whatever stands around them: a passage
+may be broken elsewhere: what is hashed are runs of ``GRAM`` words, whatever lines
+they stand in.
+
+1. Words are hashed, and each place has a rank by the hash of its word: one in 16 has
+   the first rank, one in 4 of all at least the second.  In a window of ``MIN_WORDS``
+   words the run at its minimum, the first place of the best rank, is its
+   fingerprint, so equal windows share theirs for certain.  Windows that have
+   the same minimum are neighbours and are kept as one range, with a hash of all
+   its words.
+2. Ranges whose fingerprint occurs once in the corpus repeat nothing.  Most of the
+   others are equal from end to end where they share it: all but the first go.
+3. Where ranges of one fingerprint differ, the windows of the first of each kind
+   are hashed whole and joined with their first position, in the order of doc_id and
+   word.  A window that stands at an earlier position too goes; windows that
+   overlap or touch make one span, so matches extend both ways as far as they are
+   equal.
+
+Windows are matched by their own words, whatever stands around them: a passage
 goes also if no single earlier document holds more of it than 50 words.  Counts
 and first positions are aggregates and each window is compared with one position
 only, so work grows with the text and not with the square of a passage's copies.
@@ -41,9 +45,13 @@ from pyspark.sql import functions as F
 
 from tablesift.llm.common import settle, small, table
 
-#: Words of a run that is hashed for fingerprints; a passage shares its windows' runs.
+#: Words of a run that is hashed as fingerprint; a passage shares its windows' runs.
 GRAM = 16
 MIN_WORDS = 50
+#: Bytes of a word's code: a hash in hexadecimal digits, of which the first is 8 or more.
+CODE = 16
+#: Codes below which a place has the first rank, one in 16, and the second, one in 4.
+BEST, GOOD = "88", "A"
 #: Where lines end: behind a line feed, and behind a sentence's mark and white space.
 LINE_END = r"(?<=[.!?][ \t\r\f])|(?<=\n)"
 WHITE = " \t\r\n\f\x0b"
@@ -54,137 +62,151 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(WHITE))
 
 
-def _keyed(df: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """With the key of a document: ``k`` and ``x``, never null."""
-    return df.withColumns({"k": F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)), "x": F.xxhash64(F.col(text))})
+def _codes(text: Column) -> Column:
+    """A code of ``CODE`` bytes for each word, joined: any run of words is a slice of it, hashed at once."""
+    words = F.split(_trimmed(text), r"\s+")
+    return F.array_join(F.transform(words, lambda w: F.hex(F.xxhash64(w).bitwiseOR(F.lit(-1 << 63)))), "").cast("binary")
 
 
-def over_runs(df: DataFrame, column: str, length: int, combine: Callable[[Column, Column], Column], held: int = 1) -> DataFrame:
-    """Each element of an array column combined with those behind it, ``length`` in all; by doubling.
+def _run(codes: Column, first: Column, count: Column | int) -> Column:
+    """The codes of ``count`` words from number ``first`` on."""
+    return F.substring(codes, first * CODE + 1, F.lit(CODE) * count)
 
-    An element stands for ``held`` words already.  The last ``length`` - 1 elements have no
-    meaning.  Each step uses the column twice, so that Spark keeps the steps apart and
-    doesn't evaluate one again for each element of the next.
-    """
-    while held < length:
-        step = min(held, length - held)
-        df = df.withColumn(column, F.zip_with(column, F.slice(column, step + 1, F.size(column)), combine))
-        held += step
-    return df
+
+def _below(codes: Column, i: Column, rank: str) -> Column:
+    """Whether the word of number i has a code below ``rank``."""
+    return F.substring(codes, i * CODE + 1, F.lit(len(rank))) < F.lit(rank).cast("binary")
+
+
+def _with(value: Column | str, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value evaluated once; bytes of a row would be copied at each use."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _ranges(points: Column, low: Column, high: Column, span: int) -> Column:
+    """Windows low .. high by the first point that they hold: ranges of windows, with the point."""
+    each = F.transform(points, lambda p, i: F.struct(F.greatest(F.coalesce(F.get(points, i - 1) + 1, low), p - (span - 1)).alias("first"), F.least(p, high).alias("last"), p.alias("at")))
+    return F.filter(each, lambda r: r["first"] <= r["last"])
 
 
-def _hashed(units: DataFrame, gram: int) -> DataFrame:
-    """Words of each text that has enough, as ``n`` and ``grams``: hashes of runs; other columns stay, the text goes."""
-    rest = [c for c in units.columns if c != "__text"]
-    split = units.select(*rest, F.split(_trimmed(F.col("__text")), r"\s+").alias("w"))
-    hashed = split.select(*rest, F.size("w").alias("n"), F.transform("w", lambda w: F.xxhash64(w)).alias("grams"))
-    return over_runs(hashed, "grams", gram, lambda a, b: F.xxhash64(a, b))
+def _gaps(points: Column, low: Column, high: Column, span: int) -> Column:
+    """Windows low .. high that hold no point, as ranges."""
+    each = F.transform(
+        F.sequence(F.lit(0), F.size(points)),
+        lambda i: F.struct(F.coalesce(F.get(points, i - 1) + 1, low).alias("low"), F.least(F.coalesce(F.get(points, i) - span, high), high).alias("high")),
+    )
+    return F.filter(each, lambda g: g["low"] <= g["high"])
 
 
 def fingerprints(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """Of each document: k, x, n words, ``twice`` if a run of words returns in it, ``starts`` and ``prints`` of its ranges of windows."""
-    hashed = _hashed(units, gram).filter(F.col("n") >= min_words)
-    whole = F.slice("grams", 1, F.col("n") - (gram - 1))
-    hashed = hashed.withColumn("twice", F.size(F.array_distinct(whole)) < F.size(whole))
-    least = over_runs(hashed, "grams", min_words - gram + 1, lambda a, b: F.least(a, b))
-    new = lambda i: (i == 0) | (F.get("grams", i) != F.get("grams", i - 1))
-    starts = F.filter(F.sequence(F.lit(0), F.col("n") - min_words), lambda i: F.coalesce(new(i), F.lit(True)))
-    least = least.select("k", "x", "n", "twice", "grams", starts.alias("starts"))
-    # starts is used twice so that it is evaluated once.
-    prints = F.slice(F.transform("starts", lambda i: F.get("grams", i)), 1, F.size("starts"))
-    return least.select("k", "x", "n", "twice", "starts", prints.alias("prints"))
+    """Of each document with enough words: d and ``ranges``, structs of first and last window, fingerprint, and hash of all words."""
+    span = min_words - gram + 1
+    words = units.select("d", _codes(F.col("__text")).alias("codes"))
+    # No filter by n: Spark would push it down and make the codes twice.
+    words = words.withColumn("n", (F.octet_length("codes") / CODE).cast("int"))
+    places = F.when(F.col("n") >= min_words, F.sequence(F.lit(0), F.greatest(F.col("n") - gram, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    words = words.withColumn("best", _with("codes", lambda c: F.filter(places, lambda i: _below(c, i, BEST))))
+    low, high = F.lit(0), F.col("n") - min_words
+    words = words.withColumns({"ranges": _ranges(F.col("best"), low, high, span), "gaps": _gaps(F.col("best"), low, high, span)}).drop("best")
+
+    def in_gap(codes: Column, g: Column) -> Column:
+        good = F.filter(F.sequence(g["low"], g["high"] + (span - 1)), lambda i: _below(codes, i, GOOD))
+        alone = lambda points: F.flatten(F.transform(_gaps(points, g["low"], g["high"], span), lambda r: F.transform(F.sequence(r["low"], r["high"]), lambda p: F.struct(p.alias("first"), p.alias("last"), p.alias("at")))))
+        return _with(good, lambda points: F.concat(_ranges(points, g["low"], g["high"], span), alone(points)))
+
+    words = words.withColumn("ranges", F.concat("ranges", F.flatten(_with("codes", lambda c: F.transform("gaps", lambda g: in_gap(c, g)))))).drop("gaps")
+    hashed = lambda c, r: F.struct(
+        r["first"].alias("first"),
+        r["last"].alias("last"),
+        F.xxhash64(_run(c, r["at"], gram)).alias("h"),
+        F.xxhash64(r["at"] - r["first"], _run(c, r["first"], r["last"] - r["first"] + min_words)).alias("whole"),
+    )
+    return words.select("d", _with("codes", lambda c: F.transform("ranges", lambda r: hashed(c, r))).alias("ranges"))
 
 
 def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """Windows of ``min_words`` words that an earlier place has: k, x, first, last, ranges of the numbers of their first words.
+    """Windows of ``min_words`` words that an earlier place has: d, first, last, ranges of the numbers of their first words.
 
-    ``units`` has k, x and __text, no two rows with the same k and x.
+    ``units`` has d, the number of a document in their order, and __text.
     """
-    prints = settle(fingerprints(units, min_words, gram))
-    again = prints.select(F.explode("prints").alias("h")).groupBy("h").count().filter("count > 1").select("h")
-    stop = lambda j: F.coalesce(F.get("starts", j + 1), F.col("n") - (min_words - 1)) - 1
-    ranges = prints.select("k", "x", "twice", F.explode(F.transform("starts", lambda i, j: F.struct(i.alias("first"), stop(j).alias("last"), F.get("prints", j).alias("h")))).alias("r"))
-    ranges = ranges.select("k", "x", "twice", "r.first", "r.last", "r.h")
-    # A document in which a run of words returns may repeat itself within one range.
-    wanted = ranges.filter("not twice").join(small(settle(again)), "h").unionByName(ranges.filter("twice"))
-    wanted = settle(wanted.groupBy("k", "x", "twice").agg(F.collect_list(F.struct("first", "last", "h")).alias("ranges")))
-    found = units.join(small(wanted), ["k", "x"])
+    ranges = settle(fingerprints(units, min_words, gram)).select("d", F.explode("ranges").alias("r")).select("d", "r.*")
+    shared = ranges.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), F.min("d").alias("at")).filter("n > 1")
+    met = settle(ranges.join(small(settle(shared.select("h", (F.col("least") < F.col("most")).alias("mixed"), "at"))), "h"))
+    # Ranges of one fingerprint that differ: first documents by all their words.
+    mixed = met.filter("mixed").drop("at")
+    kinds = settle(mixed.groupBy("h", "whole").agg(F.min("d").alias("at")))
+    mixed = settle(mixed.join(small(kinds), ["h", "whole"]).select("h", "d", "first", "last", "at"))
+    equal = met.filter("NOT mixed").select("h", "d", "first", "last", "at")
+    whole = equal.union(mixed).filter("d <> at").select("d", "first", "last")
+
+    # What is left needs the words: windows of ranges that differ, and repeats within one document.
+    own = equal.withColumn("hashed", F.lit(False)).union(mixed.withColumn("hashed", F.lit(True))).filter("d = at").drop("at")
+    back = settle(own.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("back")).filter("n > 1").drop("n"))
+    rest = own.join(small(back), ["h", "d"], "left").filter("hashed OR first > back").drop("h")
+    rest = settle(rest.groupBy("d").agg(F.collect_list(F.struct("first", "last", "back", "hashed")).alias("rest")))
+    found = units.join(small(rest, "rest"), "d")
     # The line of each word, where a document may repeat itself.
     by_line = F.transform(F.split("__text", LINE_END), lambda u: _trimmed(u))
     per_word = F.flatten(F.transform(by_line, lambda u, i: F.when(u == "", F.array().cast("array<int>")).otherwise(F.array_repeat(i, F.size(F.split(u, r"\s+"))))))
-    found = found.withColumn("of_word", F.when(F.col("twice"), per_word))
-    whole = over_runs(_hashed(found, gram), "grams", min_words, lambda a, b: F.xxhash64(a, b), held=gram)
-    numbers = lambda r: F.sequence(r["first"], r["last"])
-    rows = F.transform(
-        "ranges",
-        lambda r: F.struct(
-            r["h"].alias("h"),
-            F.xxhash64(F.get("grams", r["first"]), F.get("grams", r["last"]), r["last"] - r["first"]).alias("whole"),
-            r["first"].alias("first"),
-            F.transform(numbers(r), lambda p: F.get("grams", p)).alias("hashes"),
-            F.when(F.col("twice"), F.transform(numbers(r), lambda p: F.get("of_word", p))).alias("lines"),
-        ),
-    )
-    parts = settle(whole.select("k", "x", "twice", F.explode(rows).alias("r")).select("k", "x", "twice", "r.*"))
-    # Most ranges are equal from end to end where they share a fingerprint: those are compared as one.
-    kinds = settle(parts.groupBy("h", "whole").agg(F.min(F.struct("k", "x")).alias("at"), F.max("twice").alias("any_twice")))
-    alike = kinds.groupBy("h").agg(((F.count(F.lit(1)) > 1) | F.max("any_twice")).alias("mixed"))
-    kinds = small(settle(kinds.join(alike, "h").select("h", "whole", "at", "mixed")))
-    known = parts.join(kinds, ["h", "whole"])
-    other = (F.col("k") != F.col("at.k")) | (F.col("x") != F.col("at.x"))
-    ranges = known.filter(~F.col("twice") & other).select("k", "x", "first", (F.col("first") + F.size("hashes") - 1).alias("last"))
-    # Of the rest, the windows of the first of each kind, and of documents that may repeat themselves.
-    rows = F.transform("hashes", lambda h, j: F.struct((F.col("first") + j).alias("p"), h.alias("h"), F.coalesce(F.get("lines", j), F.lit(0)).alias("line")))
-    windows = known.filter(F.col("twice") | (F.col("mixed") & ~other)).select("k", "x", F.explode(rows).alias("r"))
-    windows = settle(windows.select("k", "x", "r.p", "r.h", "r.line"))
-    first = windows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "x", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
-    windows = windows.join(small(settle(first)), "h").filter(other | (F.col("line") > F.col("at.line")))
-    return ranges.union(windows.select("k", "x", "p", "p"))
+    line = F.when(F.exists("rest", lambda r: r["back"].isNotNull()), per_word)
+    found = found.select("d", _codes(F.col("__text")).alias("codes"), "rest", line.alias("line"))
+    inner = lambda r: F.filter(F.sequence(r["first"], r["last"]), lambda p: r["hashed"] | (F.get("line", r["back"] + p - r["first"]) < F.get("line", p)))
+    window = lambda c, p, r: F.struct(p.alias("p"), F.when(r["hashed"], F.coalesce(F.get("line", p), F.lit(0))).alias("line"), F.when(r["hashed"], F.xxhash64(_run(c, p, min_words))).alias("h"))
+    windows = _with("codes", lambda c: F.flatten(F.transform("rest", lambda r: F.transform(inner(r), lambda p: window(c, p, r)))))
+    windows = settle(found.select("d", F.explode(windows).alias("v")).select("d", "v.*"))
+    hashed = windows.filter("h IS NOT NULL")
+    first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
+    again = hashed.join(small(settle(first)), "h").filter((F.col("d") != F.col("at.d")) | (F.col("line") > F.col("at.line")))
+    one = ["d", F.col("p").alias("first"), F.col("p").alias("last")]
+    return whole.union(windows.filter("h IS NULL").select(*one)).union(again.select(*one))
 
 
 def _merged(windows: DataFrame, min_words: int) -> DataFrame:
-    """Spans of words, put together where windows overlap or touch: k, x, ``bounds`` with start and end in turn."""
-    ranges = windows.groupBy("k", "x").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("rs"))
+    """Spans of words, put together where windows overlap or touch: d, ``bounds`` with start and end in turn."""
+    ranges = windows.groupBy("d").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("rs"))
     starts = F.filter("rs", lambda r, i: (i == 0) | (F.get("rs", i - 1)["last"] + min_words < r["first"]))
     stops = F.filter("rs", lambda r, i: (i == F.size("rs") - 1) | (F.get("rs", i + 1)["first"] > r["last"] + min_words))
     both = F.flatten(F.zip_with(starts, stops, lambda a, b: F.array(a["first"], b["last"] + min_words)))
-    return ranges.select("k", "x", both.alias("bounds"))
-
-
-def _places(text: Column, bounds: Column) -> Column:
-    """Characters at which spans of words start and end, in turn; one pass over the words, each with the white space behind it."""
-    ahead = F.when(F.rlike(text, F.lit(r"^\s")), 1).otherwise(0)
-    at = lambda a: F.get(bounds, F.size(a.out)) + ahead == a.w
-    return F.aggregate(
-        F.split(text, r"(?<=\s)(?=\S)"),
-        F.struct(F.lit(0).alias("w"), F.lit(0).alias("c"), F.array().cast("array<int>").alias("out")),
-        lambda a, t: F.struct((a.w + 1).alias("w"), (a.c + F.length(t)).alias("c"), F.when(at(a), F.concat(a.out, F.array(a.c))).otherwise(a.out).alias("out")),
-        lambda a: F.when(F.size(a.out) < F.size(bounds), F.concat(a.out, F.array(a.c))).otherwise(a.out),
-    )
+    return ranges.select("d", both.alias("bounds"))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """With ``d``, the number of a document in their order: doc_id, null last, and where rows share one, a hash of the text."""
+    docs = docs.withColumn("d", F.coalesce(F.col("__id").cast("long"), F.lit(_LAST)))
+    if not docs.groupBy("d").count().filter("count > 1").limit(1).count():
+        return docs
+    docs = docs.withColumnRenamed("d", "k").withColumn("x", F.xxhash64("__text"))
+    # The order of a sorted table's rows; rows equal in both count once.
+    order = settle(docs.select("k", "x").distinct().orderBy("k", "x").select("k", "x", F.monotonically_increasing_id().alias("d")))
+    return docs.join(small(order), ["k", "x"]).drop("k", "x")
 
 
 def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
     """``df`` with later repeats deleted from ``text``; adds ``removed``, structs of character start and end in the old text."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text])
-    docs = _keyed(df.select(row.alias("__row"), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{doc_id}`").alias("__id")), "__text", "__id")
-    units = docs.filter(F.length("__text") >= 2 * min_words - 1).select("k", "x", "__text")
-    if units.groupBy("k", "x").count().filter("count > 1").limit(1).count():
-        # Rows equal in doc_id and text count once.
-        units = units.dropDuplicates(["k", "x"])
+    plain = df.select(row.alias("__row"), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{doc_id}`").alias("__id"))
+    docs = _numbered(plain)
+    units = docs.filter(F.length("__text") >= 2 * min_words - 1).select("d", "__text")
+    if len(docs.columns) > len(plain.columns) and units.groupBy("d").count().filter("count > 1").limit(1).count():
+        units = units.dropDuplicates(["d"])
     bounds = _merged(repeated_windows(units, min_words, gram), min_words)
-    marked = docs.join(small(settle(bounds)), ["k", "x"], "left")
-    marked = marked.withColumn("places", F.when(F.col("bounds").isNotNull(), _places(F.col("__text"), F.col("bounds"))))
-    spans = F.transform(F.sequence(F.lit(0), F.size("places") - 2, F.lit(2)), lambda i: F.struct(F.get("places", i).alias("start"), F.get("places", i + 1).alias("stop")))
-    marked = marked.withColumn("spans", F.when(F.col("places").isNull(), F.array().cast("array<struct<start:int,stop:int>>")).otherwise(spans))
-    cut = F.aggregate(
-        "spans",
-        F.struct(F.lit("").alias("kept"), F.lit(0).alias("at")),
-        lambda a, s: F.struct(F.concat(a.kept, F.substring("__text", a["at"] + 1, s.start - a["at"])).alias("kept"), s.stop.alias("at")),
-        lambda a: F.concat(a.kept, F.substring("__text", a["at"] + 1, F.length("__text"))),
+    marked = docs.join(small(settle(bounds), "bounds"), "d", "left").drop("d", "__id")
+    # Words with the white space behind them; what stands in front of the first word is one of them, too.
+    marked = marked.withColumn("tokens", F.when(F.col("bounds").isNotNull(), F.split("__text", r"(?<=\s)(?=\S)")))
+    ahead = F.when(_trimmed(F.get("tokens", F.lit(0))) == "", 1).otherwise(0)
+    marked = marked.withColumn("cuts", F.concat(F.array(F.lit(0)), F.transform("bounds", lambda b: b + ahead), F.array(F.size("tokens"))))
+    pieces = F.transform(
+        F.slice("cuts", 2, F.size("cuts")),
+        lambda stop, i: F.array_join(F.slice("tokens", F.get("cuts", i) + 1, stop - F.get("cuts", i)), ""),
     )
-    kept = F.when(F.size("spans") == 0, F.col("__text")).otherwise(cut)
+    marked = marked.withColumn("pieces", F.when(F.col("bounds").isNotNull(), pieces)).drop("tokens", "cuts")
+    ends = F.aggregate("pieces", F.array(F.lit(0)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p))))
+    kept = F.coalesce(F.array_join(F.filter("pieces", lambda p, i: i % 2 == 0), ""), F.col("__text"))
+    marked = marked.withColumns({"ends": ends, "kept": kept})
+    spans = F.transform(F.sequence(F.lit(1), F.size("ends") - 3, F.lit(2)), lambda i: F.struct(F.get("ends", i).alias("start"), F.get("ends", i + 1).alias("stop")))
+    removed = F.when(F.col("ends").isNull(), F.array().cast("array<struct<start:int,stop:int>>")).otherwise(spans)
     rest = [F.col(f"__row.`{c}`") for c in df.columns if c not in (text, "removed")]
-    return marked.select(*rest, kept.alias(text), F.col("spans").alias("removed"))
+    return marked.select(*rest, F.col("kept").alias(text), removed.alias("removed"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
