@@ -59,6 +59,16 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def plainly_named(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1 and so on, so that no name clashes with an operator's own or has a dot in it."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The name that ``plainly_named`` gives to a column."""
+    return f"c{df.columns.index(name)}"
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has about ``limit`` bytes of text, or one row."""
     col = batch.column(batch.schema.get_field_index(column))

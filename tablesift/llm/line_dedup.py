@@ -144,7 +144,9 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     back = settle(own.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("back")).filter("n > 1").drop("n"))
     rest = own.join(small(back), ["h", "d"], "left").filter("hashed OR first > back").drop("h")
     rest = settle(rest.groupBy("d").agg(F.collect_list(F.struct("first", "last", "back", "hashed")).alias("rest")))
-    found = units.join(small(rest, "rest"), "d")
+    # Where the ranges are too many to broadcast, the documents may not be, so that only their texts are shuffled.
+    few = small(rest.select("d"))
+    found = units.join(few, "d", "left_semi").join(small(rest, "rest"), "d")
     # The line of each word, where a document may repeat itself.
     by_line = F.transform(F.split("__text", LINE_END), lambda u: _trimmed(u))
     per_word = F.flatten(F.transform(by_line, lambda u, i: F.when(u == "", F.array().cast("array<int>")).otherwise(F.array_repeat(i, F.size(F.split(u, r"\s+"))))))
@@ -181,8 +183,8 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.join(small(order), ["k", "x"]).drop("k", "x")
 
 
-def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """``df`` with later repeats deleted from ``text``; adds ``removed``, structs of character start and end in the old text."""
+def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, gram: int = GRAM, removed: str = "removed") -> DataFrame:
+    """``df`` with later repeats deleted from ``text``; adds ``removed``, structs of character start and end in the old text, in place of a column of that name."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text])
     plain = df.select(row.alias("__row"), F.col(f"`{text}`").cast("string").alias("__text"), F.col(f"`{doc_id}`").alias("__id"))
     docs = _numbered(plain)
@@ -204,9 +206,9 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     kept = F.coalesce(F.array_join(F.filter("pieces", lambda p, i: i % 2 == 0), ""), F.col("__text"))
     marked = marked.withColumns({"ends": ends, "kept": kept})
     spans = F.transform(F.sequence(F.lit(1), F.size("ends") - 3, F.lit(2)), lambda i: F.struct(F.get("ends", i).alias("start"), F.get("ends", i + 1).alias("stop")))
-    removed = F.when(F.col("ends").isNull(), F.array().cast("array<struct<start:int,stop:int>>")).otherwise(spans)
-    rest = [F.col(f"__row.`{c}`") for c in df.columns if c not in (text, "removed")]
-    return marked.select(*rest, F.col("kept").alias(text), removed.alias("removed"))
+    gone = F.when(F.col("ends").isNull(), F.array().cast("array<struct<start:int,stop:int>>")).otherwise(spans)
+    rest = [F.col(f"__row.`{c}`") for c in df.columns if c not in (text, removed)]
+    return marked.select(*rest, F.col("kept").alias(text), gone.alias(removed))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
