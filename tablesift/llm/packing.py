@@ -14,10 +14,10 @@ A task holds the open windows and no more, a merge at most ``MERGE`` times
 shuffled.  Sequence ids depend on the partition and its rows alone, so a task
 that runs again gives the same ones.
 
-Ids are those of the tokenizers file ``byte_bpe_50k.json``; they are found with
-tiktoken from the same vocabulary, which is several times as fast, and a test
-holds both against each other.  Names of special tokens in a text are ordinary
-text.
+Ids are those that the tokenizers library finds with the file ``byte_bpe_50k.json``
+and its own settings, so the name of an added token in a text, ``<|endoftext|>``,
+is that token.  They are found with tiktoken from the vocabulary in that file, which
+is several times as fast, and tests hold both against each other.
 
 Defined results: a null or empty text is the end token alone; a text of any
 length is packed whole; rows with equal doc_id are packed one by one; an empty
@@ -26,6 +26,8 @@ table gives no rows.  Other columns are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -40,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.bpe import ranks
+from tablesift.llm.bpe import byte_characters
 from tablesift.llm.common import settle, slices, table, text_of
 
 CAPACITY = 2048
@@ -52,9 +54,36 @@ MERGE = 64
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, part int, ids binary"
 
 
+class Encoder:
+    """Ids of a text, by a tokenizers file of byte-level BPE."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        added = spec["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError(f"added tokens that take in what is around them aren't known: {path}")
+        self._added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        # The longest name first, as it counts where one begins with another.
+        names = sorted(self._added, key=len, reverse=True)
+        self._names = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        of = {c: b for b, c in byte_characters().items()}
+        ranks = {bytes(of[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in self._added}
+        self._encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        if self._names is None or not self._names.search(text):
+            return self._plain(text)
+        return b"".join(self._added[part] if i % 2 else self._plain(part) for i, part in enumerate(self._names.split(text)))
+
+    def _plain(self, text: str) -> bytes:
+        return self._encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4", copy=False).tobytes()
+
+
 @lru_cache(2)
-def _encoding(path: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(path), special_tokens={})
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 class Windows:
@@ -91,7 +120,7 @@ class Windows:
 
 
 def _packed(batches: Iterator[pa.RecordBatch], capacity: int, open_windows: int, end_id: int, path: str, part: int) -> Iterator[pa.RecordBatch]:
-    encoding = _encoding(path)
+    encoder = _encoder(path)
     windows = Windows(capacity, open_windows)
     schema = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t]) for n, t in (f.split() for f in _PIECES.split(", "))])
     end = np.array([end_id], "<u4").tobytes()
@@ -111,7 +140,7 @@ def _packed(batches: Iterator[pa.RecordBatch], capacity: int, open_windows: int,
         for some in slices(whole, "text"):
             made: list[tuple] = []
             for doc, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
-                ids = encoding.encode_to_numpy(text or "", allowed_special=set(), disallowed_special=()).astype("<u4", copy=False).tobytes() + end
+                ids = encoder.encode(text or "") + end
                 tokens = len(ids) // 4
                 for start in range(0, tokens, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
@@ -163,7 +192,7 @@ def pack(df: DataFrame, capacity: int = CAPACITY, open_windows: int = OPEN_WINDO
 
     ``sequences`` makes the token windows themselves from these pieces.
     """
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _packed(batches, capacity, open_windows, end_id, path, TaskContext.get().partitionId())
@@ -183,15 +212,15 @@ def sequences(df: DataFrame, pieces: DataFrame, capacity: int = CAPACITY, end_id
 
     A sequence has at most ``capacity`` tokens, so what is gathered for one is bounded.  doc_ids must be unique.
     """
-    path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, end = _encoding(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = _encoder(path), np.array([end_id], "<u4").tobytes()
         for whole in batches:
             for batch in slices(whole, "text"):
                 rows = []
                 for text, own in zip(batch.column("text").to_pylist(), batch.column("own").to_pylist()):
-                    ids = encoding.encode_to_numpy(text or "", allowed_special=set(), disallowed_special=()).astype("<u4", copy=False).tobytes() + end
+                    ids = encoder.encode(text or "") + end
                     rows += [(p["sequence_id"], p["offset"], ids[4 * p["start"] : 4 * (p["start"] + p["length"])]) for p in own]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["sequence_id", "offset", "ids"])
