@@ -41,29 +41,31 @@ def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
 def exact_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", hash_all: bool = False) -> DataFrame:
     """One row per row of ``df``: doc_id, keep_id, group_size, kept, text_sha256.
 
-    Rows that a cheaper level tells apart have no ``text_sha256``: their whole
-    text isn't hashed.  ``hash_all`` hashes every text, in the first scan; the
-    same is done if the groups that are left are too many to broadcast, as
-    hashing then costs less than shuffling texts.
+    Rows that a cheaper level tells apart have no ``text_sha256``, however many there
+    are.  ``hash_all`` is for those who want every row's digest; as each text is hashed
+    whole then, that happens in the first scan and the levels only thin out what is
+    grouped by digest.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("raw")).withColumn("clean", normalised(F.col("raw")))
-    thin = docs.select(
-        "doc_id",
-        F.length("raw").alias("chars"),
-        F.octet_length("clean").alias("bytes"),
-        F.xxhash64(F.substring("clean", 1, PREFIX_CHARS)).alias("prefix"),
-        *([F.sha2("clean", 256).alias("text_sha256")] if hash_all else ["clean"]),
-    )
+    docs = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("raw")).withColumn("clean", normalised(F.col("raw")))
+    facts = ["doc_id", F.length("raw").alias("chars"), F.octet_length("clean").alias("bytes"), F.xxhash64(F.substring("clean", 1, PREFIX_CHARS)).alias("prefix")]
+    digest = F.sha2("clean", 256).alias("text_sha256")
     # The row's own number, for ties; it is settled with the rows.
     own = F.monotonically_increasing_id().alias("own")
-    rows = settle(thin.select(*[c for c in thin.columns if c != "clean"], own))
+    rows = settle(docs.select(*facts, *([digest] if hash_all else []), own))
     by_length = rows.join(_repeated(rows, ["bytes"]), "bytes", "left_semi")
     survivors = _repeated(by_length, ["bytes", "prefix"])
     if not hash_all:
-        if survivors.count() > BROADCAST_ROWS:
-            return exact_groups(df, text, doc_id, hash_all=True)
-        marked = thin.join(survivors.withColumn("survives", F.lit(True)), ["bytes", "prefix"], "left")
-        rows = settle(marked.select("doc_id", "chars", "bytes", "prefix", F.when(F.col("survives"), F.sha2("clean", 256)).alias("text_sha256"), own))
+        marks = survivors.withColumn("survives", F.lit(True))
+        hashed = F.when(F.col("survives"), F.col("text_sha256")).alias("text_sha256")
+        if survivors.count() <= BROADCAST_ROWS:
+            # Only the texts of surviving groups are hashed.
+            marked = docs.select(*facts, "clean").join(marks, ["bytes", "prefix"], "left")
+            rows = marked.select("doc_id", "chars", "bytes", "prefix", F.when(F.col("survives"), F.sha2("clean", 256)).alias("text_sha256"), own)
+        else:
+            # Too many to broadcast: hashing costs less than shuffling texts, so thin rows are shuffled with their digests.
+            marked = docs.select(*facts, digest, own).join(marks, ["bytes", "prefix"], "left")
+            rows = marked.select("doc_id", "chars", "bytes", "prefix", hashed, "own")
+        rows = settle(rows)
     best = F.min(F.struct((-F.col("chars")).alias("fewest"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "own"))
     groups = rows.join(survivors, ["bytes", "prefix"], "left_semi").groupBy("text_sha256").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).filter("n > 1")
     placed = rows.join(settle(groups), "text_sha256", "left")
@@ -78,7 +80,7 @@ def exact_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", hash
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups of equal texts; every text's digest is asked for, so all are hashed."""
+    """Groups of equal texts; every text's digest is asked for, so all are hashed, in one scan."""
     return exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), hash_all=True)
 
 
