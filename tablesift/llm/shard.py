@@ -14,8 +14,9 @@ than a of its a * b numbers are not row numbers; a walk that meets one goes
 on until it is back among them.  How long the longest walk is depends on n and
 the seed alone and is found beforehand, from those few numbers.
 
-Rows that are equal in doc_id and text count as one with a multiplicity, so a
-row that makes up a third of the table costs no more than any other.
+Rows that are equal in doc_id and text count as one with a multiplicity until they
+are numbered; then they are dealt out again in blocks of ``BLOCK`` rows, so that a
+row that makes up a third of the table is never one array or one task.
 
 Defined results: null texts have size 1 and the checksum of no bytes, empty
 texts as well; null doc_ids are numbered as the others are; of rows with equal
@@ -29,12 +30,14 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import settle, table, text_of
+from tablesift.llm.common import settle, small, table, text_of
 
 SHARDS = 16
 ROUNDS = 6
-#: Parts in which rows are numbered; each is one window, so few enough rows for a task at any size.
-BUCKETS = 4096
+#: Rows of a part in which rows are numbered, in the mean; each is one window.  There are 64 parts at least.
+BUCKET_ROWS = 1 << 18
+#: Copies of a row that one task makes from one array.
+BLOCK = 10_000
 
 
 def _mixed(round_: Column, value: Column, seed: int, modulus: int) -> Column:
@@ -87,26 +90,40 @@ def permuted(x: Column, n: int, seed: int, passes: int) -> Column:
     return F.aggregate(walk, permuted_once(x, n, seed), lambda y, _: F.when(y < n, y).otherwise(permuted_once(y, n, seed)))
 
 
-def numbered(df: DataFrame, keys: list[str], number: str = "row_number", buckets: int = BUCKETS) -> tuple[DataFrame, int]:
+def numbered(df: DataFrame, keys: list[str], number: str = "row_number", bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
     """Distinct rows of ``keys`` with how often each occurs, ``copies``, and the first of its row numbers; and the number of all rows.
 
-    The order is by bucket and then by ``keys``.
+    The order is by bucket and then by ``keys``; the number of buckets follows from that of rows.
     """
+    n = df.count()
+    buckets = max(64, -(-n // bucket_rows))
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]))
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     counted = counted.withColumn("bucket", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % buckets)
     within = Window.partitionBy("bucket").orderBy(*[F.col(k).asc_nulls_first() for k in keys])
     counted = settle(counted.withColumn("before", F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("copies")))
-    # At most ``buckets`` rows from here on, whatever the size of the table.
+    # One thin row for each bucket, so one for 2**18 rows of a large table.
     totals = counted.groupBy("bucket").agg(F.sum("copies").alias("rows"))
-    bases = totals.select("bucket", (F.sum("rows").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias("base"))
-    n = counted.agg(F.sum("copies")).first()[0] or 0
-    return counted.join(F.broadcast(bases), "bucket").withColumn(number, F.col("base") + F.col("before")).drop("bucket", "base", "before"), n
+    bases = settle(totals.select("bucket", (F.sum("rows").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias("base")))
+    return counted.join(small(bases), "bucket").withColumn(number, F.col("base") + F.col("before")).drop("bucket", "base", "before"), n
+
+
+def blocks_of_copies(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``rows`` with row_number and copies, in rows of at most ``block`` copies each; dealt out anew if any has more."""
+    if (rows.agg(F.max("copies")).first()[0] or 0) <= block:
+        return rows
+    whole = F.col("copies")
+    # Two levels, so that no array has more than a few thousand elements even for thousands of millions of copies.
+    for size in (block * block, block):
+        at = F.explode(F.sequence(F.lit(0).cast("long"), whole - 1, F.lit(size).cast("long")))
+        rows = rows.withColumn("__at", at).withColumns({"row_number": F.col("row_number") + F.col("__at"), "copies": F.least(whole - F.col("__at"), F.lit(size))}).drop("__at")
+    return rows.repartition("row_number")
 
 
 def shard_rows(df: DataFrame, keys: list[str], shards: int = SHARDS, seed: int = 0) -> DataFrame:
     """One row for each row of ``df``: ``keys``, ``row_number``, ``shard`` and ``slot``."""
     rows, n = numbered(df, keys)
+    rows = blocks_of_copies(rows)
     each = rows.withColumn("row_number", F.explode(F.sequence("row_number", F.col("row_number") + F.col("copies") - 1))).drop("copies")
     passes = longest_walk(df.sparkSession, n, seed)
     placed = each.withColumn("place", permuted(F.col("row_number"), max(n, 1), seed, passes))
