@@ -12,9 +12,12 @@ mention of a group, from fewer numbers than there are pairs.
 
 The model is fitted on a bounded sample, ``MAX_TRAINING_ROWS`` labelled rows,
 chosen by a hash of doc_id; labels of rows whose crc32(doc_id) mod 5 is 0 are
-never read for it.  Of all terms only the ``ACTIVE_TERMS`` that tell most about
-the label in the sample get weights, so the model's size is fixed, and so is
-what the driver and each task hold.  Scoring covers every text whole.
+never read for it.  Terms get weights for either of two reasons: alone they tell
+about the label, or, of the ``PAIR_TERMS`` most frequent ones, two together tell what
+neither does, so that a harmless mention that only matters beside another word
+is learned, too.  Spark counts the terms; the driver gets no more of a row than
+the terms that may be chosen, so its share and the model's size are fixed.
+Scoring covers every text whole.
 
 Defined results: null and empty texts have the score of no terms; without
 labels of both classes all scores are 0; a row whose doc_id is null counts as
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesift.llm.common import slices, table, text_of
+from tablesift.llm.common import place_of, plainly_named, settle, slices, table, text_of
 from tablesift.llm.word_hash import Words
 
 MAX_TRAINING_ROWS = 8_000
@@ -43,6 +46,11 @@ ACTIVE_TERMS = 4096
 FACTORS = 8
 #: Standard deviations from the mean that a term's share of toxic rows must differ to get weights.
 LEAST_Z = 3.0
+#: The most frequent terms, of which pairs are tried; and by how many deviations the share of toxic rows
+#: with both must differ from the shares of each; and the least rows that have both.
+PAIR_TERMS = 1024
+LEAST_PAIR_Z = 5.0
+PAIR_ROWS = 10
 EPOCHS = 300
 #: Lengths of the stems, in bytes.
 STEMS = (4, 5)
@@ -86,12 +94,33 @@ class Machine:
         return self.scores(distinct // max(len(self.active), 1), distinct % max(len(self.active), 1), len(texts))
 
 
+def telling_pairs(row: np.ndarray, term: np.ndarray, labels: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Of the ``frequent`` terms, those of pairs that tell about the label what neither term tells alone, the best first."""
+    place = np.full(1 << BITS, -1, np.int32)
+    place[frequent] = np.arange(len(frequent))
+    held = place[term] >= 0
+    both, toxic = np.zeros((2, len(frequent), len(frequent)))
+    for start in range(0, len(labels), 1024):  # some rows at a time, as a matrix of rows and terms
+        own = held & (row >= start) & (row < start + 1024)
+        x = np.zeros((min(1024, len(labels) - start), len(frequent)), np.float32)
+        x[row[own] - start, place[term[own]]] = 1
+        both += x.T @ x
+        toxic += x.T @ (x * labels[start : start + 1024, None].astype(np.float32))
+    alone = np.diag(toxic) / np.maximum(np.diag(both), 1)
+    # How far the share of toxic rows with both terms is from that of rows with the one, in deviations.
+    z = np.abs(toxic - both * alone[:, None]) / np.sqrt(both * alone[:, None] * (1 - alone[:, None]) + 0.5)
+    z = np.minimum(z, z.T)
+    z[both < PAIR_ROWS] = 0
+    best = z.max(1, initial=0)
+    order = np.argsort(-best, kind="stable")
+    return frequent[order[best[order] > LEAST_PAIR_Z]]
+
+
 def fit(row_terms: list[np.ndarray], labels: np.ndarray, active_terms: int = ACTIVE_TERMS, factors: int = FACTORS, epochs: int = EPOCHS, seed: int = 0) -> Machine | None:
     """Fit on distinct terms per row; None without both classes."""
     rows, positive = len(labels), int(labels.sum())
     if positive == 0 or positive == rows:
         return None
-    # The driver holds this once, in 32-bit numbers, and only the active terms after the selection.
     row = np.repeat(np.arange(rows, dtype=np.int32), [len(t) for t in row_terms])
     term = np.concatenate(row_terms)
     with_label = np.bincount(term, labels[row], 1 << BITS)
@@ -100,8 +129,12 @@ def fit(row_terms: list[np.ndarray], labels: np.ndarray, active_terms: int = ACT
     share = positive / rows
     z = np.abs(with_label - seen * share) / np.sqrt(np.maximum(seen * share * (1 - share), 1e-9) + 0.5)
     z[(seen < 2) | (seen == rows)] = 0
-    active = np.sort(np.argsort(-z, kind="stable")[:active_terms])
-    active = active[z[active] > LEAST_Z]
+    alone = np.argsort(-z, kind="stable")[:active_terms]
+    seen[seen == rows] = 0
+    frequent = np.argsort(-seen, kind="stable")[:PAIR_TERMS]
+    chosen = np.concatenate([alone[z[alone] > LEAST_Z], telling_pairs(row, term, labels, frequent[seen[frequent] > 0])])
+    _, first = np.unique(chosen, return_index=True)
+    active = np.sort(chosen[np.sort(first)][:active_terms])
     slot = np.full(1 << BITS, -1, np.int64)
     slot[active] = np.arange(len(active))
     held = slot[term] >= 0
@@ -109,9 +142,10 @@ def fit(row_terms: list[np.ndarray], labels: np.ndarray, active_terms: int = ACT
     del term, held, with_label, seen, z
     rng = np.random.default_rng(seed)
     k = len(active)
-    x = {"bias": np.array([np.log(share / (1 - share))]), "w": np.zeros(k), "v": rng.normal(0, 0.01, (k, factors))}
+    x = {"bias": np.zeros(1), "w": np.zeros(k), "v": rng.normal(0, 0.01, (k, factors))}
     moment = {n: [np.zeros_like(a), np.zeros_like(a)] for n, a in x.items()}
-    weight = np.where(labels == 1, rows / positive, 1.0)
+    # Both classes weigh the same.
+    weight = np.where(labels == 1, rows / positive, rows / (rows - positive))
     weight /= weight.sum()
     decay = {"bias": 0.0, "w": 2e-5, "v": 2e-4}
     for epoch in range(1, epochs + 1):
@@ -146,32 +180,51 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
             for batch in slices(whole, "text", 1 << 20):
                 term, row = terms(batch.column("text").to_pylist())
                 keys = np.unique(row.astype(np.int64) << BITS | term)
-                cuts = np.searchsorted(keys >> BITS, np.arange(1, batch.num_rows))
-                packed = [(k & ((1 << BITS) - 1)).astype(np.int32).tobytes() for k in np.split(keys, cuts)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "toxic", "terms"])
+                ends = np.searchsorted(keys >> BITS, np.arange(batch.num_rows + 1)).astype(np.int32)
+                own = pa.ListArray.from_arrays(pa.array(ends), pa.array((keys & ((1 << BITS) - 1)).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic").cast(pa.int64()), own], ["doc_id", "toxic", "terms"])
 
     # A document id that occurs on several rows would go beyond the bound: one row of each.
-    found = sample.mapInArrow(collect, "doc_id long, toxic long, terms binary").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("terms").alias("terms"))
-    got = found.orderBy("doc_id").toPandas()
-    return fit([np.frombuffer(t, np.int32) for t in got["terms"]], got["toxic"].to_numpy(float)) if len(got) else None
+    found = sample.mapInArrow(collect, "doc_id long, toxic long, terms array<int>").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min("terms").alias("terms"))
+    found = settle(found)
+    rows, positive = found.agg(F.count(F.lit(1)), F.sum("toxic")).first()
+    if not positive or positive == rows:
+        return None
+    share = positive / rows
+    counted = found.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("seen"), F.sum("toxic").alias("toxic")).filter(F.col("seen") < rows)
+    counted = settle(counted.withColumn("z", F.abs(F.col("toxic") - F.col("seen") * share) / F.sqrt(F.col("seen") * share * (1 - share) + 0.5)))
+    telling = counted.filter((F.col("z") > LEAST_Z) & (F.col("seen") > 1)).orderBy(F.desc("z"), "term").limit(ACTIVE_TERMS)
+    frequent = counted.orderBy(F.desc("seen"), "term").limit(PAIR_TERMS)
+    # At most ACTIVE_TERMS and PAIR_TERMS numbers.
+    wanted = np.array([r[0] for r in telling.union(frequent).select("term").distinct().collect()], np.int32)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.array(t, np.int32) for t in batch.column("terms").to_pylist()]
+            packed = [t[np.isin(t, wanted)].tobytes() for t in own]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(packed, pa.binary())], ["doc_id", "toxic", "terms"])
+
+    got = found.mapInArrow(keep, "doc_id long, toxic long, terms binary").orderBy("doc_id").toPandas()
+    return fit([np.frombuffer(t, np.int32) for t in got["terms"]], got["toxic"].to_numpy(float))
 
 
 def scored(docs: DataFrame, machine: Machine | None, text: str = "text", score: str = "score") -> DataFrame:
     """Add the score to every row, as column ``score``."""
     if machine is None:
         return docs.withColumn(score, F.lit(0.0))
-    fields = [f for f in docs.schema if f.name != score]
+    plain, place = plainly_named(docs), place_of(docs, text)
+    kept = [(f"c{i}", name) for i, name in enumerate(docs.columns) if name != score]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = np.full(1 << BITS, -1, np.int16)
         slot[machine.active] = np.arange(len(machine.active))
         for whole in batches:
-            for batch in slices(whole, text, 1 << 20):
-                rest = [i for i, n in enumerate(batch.schema.names) if n != score]
-                found = machine._score(batch.column(text).to_pylist(), slot)
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(found, pa.float64())], [*[batch.schema.names[i] for i in rest], score])
+            for batch in slices(whole, place, 1 << 20):
+                found = machine._score(batch.column(place).to_pylist(), slot)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c, _ in kept], pa.array(found, pa.float64())], [*[c for c, _ in kept], "score"])
 
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(score, T.DoubleType())]))
+    schema = T.StructType([*[plain.schema[c] for c, _ in kept], T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*[name for _, name in kept], score)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
