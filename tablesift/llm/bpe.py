@@ -8,7 +8,8 @@ nothing is shuffled.
 
 Words recur.  A text is cut in front of every white space that follows
 something else, which is always a boundary between two matches of the pattern;
-each cut piece is encoded once and then taken from a cache of bounded size.
+each cut piece is encoded once and then taken from a cache of bounded size.  With
+another pattern the pieces are that pattern's matches.
 
 Defined results: null and empty texts have no tokens; a text of any length is
 encoded whole; equal rows give equal results; an empty table gives none.  All
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers.models import BPE
 
-from tablesift.llm.common import slices, table, text_of
+from tablesift.llm.common import place_of, plainly_named, slices, table, text_of
 
 #: Pieces that a worker keeps in each of two generations of its cache.
 CACHE_PIECES = 250_000
@@ -80,6 +81,8 @@ class Codec:
         ]
         self._model = BPE({named[token]: rank for token, rank in vocabulary.items()}, merges, ignore_merges=True)
         self._pieces = regex.compile(pattern).findall
+        # Only of the usual pattern it is known that texts can be cut in front of white space.
+        self._cut = _CHUNK if pattern == public_tokenizers.PATTERN else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._limit = cache_pieces
@@ -95,7 +98,7 @@ class Codec:
     def _encode_chunk(self, chunk: str) -> bytes:
         found = self._old.get(chunk)
         if found is None:
-            found = array.array("I", [token.id for piece in self._pieces(chunk) for token in self._model.tokenize(piece.encode().decode("latin-1").translate(self._names))]).tobytes()
+            found = array.array("I", [token.id for piece in ([chunk] if self._cut is None else self._pieces(chunk)) for token in self._model.tokenize(piece.encode().decode("latin-1").translate(self._names))]).tobytes()
         if len(self._young) >= self._limit:
             self._old, self._young = self._young, {}
         self._young[chunk] = found
@@ -103,9 +106,11 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
+        if self._cut is None:
+            return self._join(self._pieces(text))
         if len(text) <= 1 << 22:
-            return self._join(_CHUNK.findall(text))
-        chunks = _CHUNK.finditer(text)
+            return self._join(self._cut.findall(text))
+        chunks = self._cut.finditer(text)
         return b"".join(iter(lambda: self._join([m[0] for m in islice(chunks, 1 << 16)]), b""))
 
     def _join(self, chunks: list[str]) -> bytes:
@@ -138,8 +143,18 @@ def _vocabulary(path: str | None) -> str:
     return path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _with(df: DataFrame, fields: dict[str, T.DataType]) -> T.StructType:
-    return T.StructType([f for f in df.schema if f.name not in fields] + [T.StructField(k, v) for k, v in fields.items()])
+def _mapped(df: DataFrame, column: str, fields: dict[str, T.DataType], made: Callable[[list], list[pa.Array]]) -> DataFrame:
+    """``df`` with further columns ``fields``, made of the values of ``column``; others of these names go."""
+    plain, place = plainly_named(df), place_of(df, column)
+    kept = [(f"c{i}", name) for i, name in enumerate(df.columns) if name not in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, place):
+                yield pa.RecordBatch.from_arrays([batch.column(c) for c, _ in kept] + made(batch.column(place).to_pylist()), [c for c, _ in kept] + list(fields))
+
+    schema = T.StructType([plain.schema[c] for c, _ in kept] + [T.StructField(k, v) for k, v in fields.items()])
+    return plain.mapInArrow(run, schema).toDF(*[name for _, name in kept], *fields)
 
 
 def encode(df: DataFrame, text: str = "text", vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, offsets: bool = True) -> DataFrame:
@@ -149,21 +164,17 @@ def encode(df: DataFrame, text: str = "text", vocabulary: str | None = None, pat
     have them; ``unpacked`` makes arrays of them.
     """
     path = _vocabulary(vocabulary)
-    fields = {"ids": T.BinaryType()} | ({"char_starts": T.BinaryType()} if offsets else {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(texts: list) -> list[pa.Array]:
         own = codec(path, pattern)
-        for whole in batches:
-            for batch in slices(whole, text):
-                rest = [i for i, name in enumerate(batch.schema.names) if name not in fields]
-                ids = [own.encode(t or "") for t in batch.column(text).to_pylist()]
-                made = [pa.array(ids, pa.binary())]
-                if offsets:
-                    views = [np.frombuffer(x, "<u4") for x in ids]
-                    made.append(pa.array([own.char_starts(v, own.decode(v)).tobytes() if len(v) else b"" for v in views], pa.binary()))
-                yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + made, [batch.schema.names[i] for i in rest] + list(fields))
+        ids = [own.encode(t or "") for t in texts]
+        out = [pa.array(ids, pa.binary())]
+        if offsets:
+            views = [np.frombuffer(x, "<u4") for x in ids]
+            out.append(pa.array([own.char_starts(v, own.decode(v)).tobytes() if len(v) else b"" for v in views], pa.binary()))
+        return out
 
-    return df.mapInArrow(run, _with(df, fields))
+    return _mapped(df, text, {"ids": T.BinaryType()} | ({"char_starts": T.BinaryType()} if offsets else {}), made)
 
 
 def decode(df: DataFrame, ids: str = "ids", vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, as_text: bool = True) -> DataFrame:
@@ -173,20 +184,13 @@ def decode(df: DataFrame, ids: str = "ids", vocabulary: str | None = None, patte
     character: the bytes are exact, the text has U+FFFD for the broken ends.
     """
     path = _vocabulary(vocabulary)
-    fields = {"decoded": T.BinaryType()} | ({"decoded_text": T.StringType()} if as_text else {})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(packed: list) -> list[pa.Array]:
         own = codec(path, pattern)
-        for whole in batches:
-            for batch in slices(whole, ids):
-                rest = [i for i, name in enumerate(batch.schema.names) if name not in fields]
-                data = [own.decode(np.frombuffer(x or b"", "<u4")) for x in batch.column(ids).to_pylist()]
-                made = [pa.array(data, pa.binary())]
-                if as_text:
-                    made.append(pa.array([x.decode("utf-8", "replace") for x in data], pa.string()))
-                yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + made, [batch.schema.names[i] for i in rest] + list(fields))
+        data = [own.decode(np.frombuffer(x or b"", "<u4")) for x in packed]
+        return [pa.array(data, pa.binary())] + ([pa.array([x.decode("utf-8", "replace") for x in data], pa.string())] if as_text else [])
 
-    return df.mapInArrow(run, _with(df, fields))
+    return _mapped(df, ids, {"decoded": T.BinaryType()} | ({"decoded_text": T.StringType()} if as_text else {}), made)
 
 
 def unpacked(name: str = "ids") -> Callable:
@@ -200,12 +204,14 @@ def unpacked(name: str = "ids") -> Callable:
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encode every whole text, decode the ids, and digest both."""
+    """Encode every whole text with offsets, decode the ids to bytes and text, and digest all four."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
-    encoded = encode(docs, offsets=False).drop("text")
-    return decode(encoded, as_text=False).select(
+    encoded = encode(docs).drop("text")
+    return decode(encoded).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.xxhash64("char_starts").alias("char_starts_hash"),
+        F.xxhash64("decoded_text").alias("decoded_text_hash"),
     )

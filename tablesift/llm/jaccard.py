@@ -50,7 +50,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import settle, slices, small, table, text_of
+from tablesift.llm.common import place_of, plainly_named, settle, slices, small, table, text_of
 from tablesift.llm.word_hash import mix, shingle_sets
 
 SHINGLE = 5
@@ -302,7 +302,7 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     null for empty sets.
     """
     spark = df.sparkSession
-    plain = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    plain = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_of(text).alias("text"))
     docs = plain.withColumn("key", F.md5(F.col("text").cast("binary")))
     counts = spark.sparkContext.broadcast(frequencies(docs))  # a fixed size
     rows = settle(sketches(docs, counts))
@@ -340,16 +340,17 @@ def without_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     rows = settle(near_duplicates(df, text, doc_id).filter("n_shingles > 0").select("doc_id", "key", "part"))
     chosen = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("kept"))
     other = F.col("key").eqNullSafe(F.col("kept.key")) & F.col("doc_id").eqNullSafe(F.col("kept.doc_id"))
-    dropped = settle(rows.join(settle(chosen), "part").filter(~other).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct())
-    repeated = settle(rows.groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")))
-    key = F.md5(text_of(text).cast("binary"))
-    same = F.col("__key").eqNullSafe(key) & F.col("__id").eqNullSafe(F.col(f"`{doc_id}`").cast("long"))
-    kept = df.join(small(dropped), same, "left_anti")
+    dropped = settle(rows.join(settle(chosen), "part").filter(~other).select(F.col("doc_id").alias("id"), "key").distinct())
+    repeated = settle(rows.groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias("id"), "key"))
+    plain, number = plainly_named(df), place_of(df, doc_id)
+    key = F.md5(text_of(place_of(df, text)).cast("binary"))
+    same = F.col("key").eqNullSafe(key) & F.col("id").eqNullSafe(F.col(number).cast("long"))
+    kept = plain.join(small(dropped), same, "left_anti")
     if repeated.limit(1).count():
         # Rows equal in doc_id and text: one of each stays.
-        once = kept.join(small(repeated), same, "left_semi").withColumn("__key", key).dropDuplicates([doc_id, "__key"]).drop("__key")
+        once = kept.join(small(repeated), same, "left_semi").withColumn("key", key).dropDuplicates([number, "key"]).drop("key")
         kept = kept.join(small(repeated), same, "left_anti").unionByName(once)
-    return kept
+    return kept.toDF(*df.columns)
 
 
 def _component_pairs(postings: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesift.llm.common import settle, slices, small, table, text_of
+from tablesift.llm.common import place_of, plainly_named, settle, slices, small, table, text_of
 
 #: Characters between parts that belong together.
 SCOPE = 512
@@ -102,18 +102,20 @@ def linked(found: DataFrame, key: str, scope: int = SCOPE) -> DataFrame:
     return spans.groupBy(key).agg(F.sort_array(F.collect_set("span")).alias("linked"))
 
 
-def scan(df: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
-    """All columns, and ``base`` and ``spans``: arrays of (kind, start, stop), by start and then kind."""
-    keyed = df.withColumn("__key", F.md5(text_of(text).cast("binary")))
+def scan(df: DataFrame, text: str = "text", scope: int = SCOPE, base: str = "base", spans: str = "spans") -> DataFrame:
+    """All columns, and ``base`` and ``spans``: arrays of (kind, start, stop), by start and then kind; they replace columns of these names."""
+    plain, place = plainly_named(df), place_of(df, text)
+    keyed = plain.withColumn("key", F.md5(text_of(place).cast("binary")))
     # Equal texts have equal spans, so parts are linked once for each text; without an
     # access identifier there is nothing to link.
-    weak = detected(keyed.filter(F.contains(text_of(text), F.lit("AKIA"))).select("__key", text), text).filter(F.size("weak") > 0).select("__key", "base", "weak")
-    more = settle(linked(settle(weak.dropDuplicates(["__key"])), "__key", scope))
-    joined = detected(keyed, text).drop("weak").join(small(more), "__key", "left")
+    weak = detected(keyed.filter(F.contains(text_of(place), F.lit("AKIA"))).select("key", place), place).filter(F.size("weak") > 0).select("key", "base", "weak")
+    more = settle(linked(settle(weak.dropDuplicates(["key"])), "key", scope))
+    joined = detected(keyed, place).drop("weak").join(small(more, "linked"), "key", "left")
     by_start = lambda a, b: F.when((a.start < b.start) | ((a.start == b.start) & (a.kind < b.kind)), -1).when((a.start == b.start) & (a.kind == b.kind), 0).otherwise(1)
-    spans = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(T.ArrayType(_SPAN)))), by_start)
-    rest = [c for c in df.columns if c not in ("base", "spans")]
-    return joined.select(*[F.col(f"`{c}`") for c in rest], "base", F.when(F.col("linked").isNull(), F.col("base")).otherwise(spans).alias("spans"))
+    every = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(T.ArrayType(_SPAN)))), by_start)
+    kept = [(f"c{i}", name) for i, name in enumerate(df.columns) if name not in (base, spans)]
+    found = joined.select(*[c for c, _ in kept], "base", F.when(F.col("linked").isNull(), F.col("base")).otherwise(every).alias("spans"))
+    return found.toDF(*[name for _, name in kept], base, spans)
 
 
 def listed(spans: Column) -> Column:
