@@ -15,18 +15,19 @@ from tablesift.llm.common import rewritten, table
 
 def _with_text(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of documents in their order, n_chars by the text as it is now."""
-    return df.withColumn("n_chars", F.length("text").cast("long")).select(*columns) if "n_chars" in columns else df.select(*columns)
+    named = [f"`{c}`" for c in columns]
+    return df.withColumn("n_chars", F.length("text").cast("long")).select(*named) if "n_chars" in columns else df.select(*named)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.5 or more go."""
     machine = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return toxicity.scored(docs, machine, score="__score").filter("__score < 0.5").select(*docs.columns)
+    return toxicity.scored(docs, machine, score="__score").filter("__score < 0.5").drop("__score")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more go where they are repeated; what is left of a text stays."""
-    return _with_text(line_dedup.without_runs(docs), docs.columns)
+    return _with_text(line_dedup.without_runs(docs, removed="__removed"), docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +37,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by their kind; documents stay."""
-    found = secrets.scan(docs)
-    return _with_text(found.withColumn("text", secrets.redacted(F.col("text"), F.col("spans"))), docs.columns)
+    found = secrets.scan(docs, base="__base", spans="__spans")
+    return _with_text(found.withColumn("text", secrets.redacted(F.col("text"), F.col("__spans"))), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
