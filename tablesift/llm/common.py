@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Rows up to which a set of keys may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 
+#: The size of the map of ``among``: 2**27 bits are 16 MB.
+FILTER_BITS = 27
+
 #: Bytes of text that an Arrow worker handles at a time.
 SLICE_BYTES = 2 << 20
 
@@ -37,10 +40,10 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def rewritten(df: DataFrame) -> DataFrame:
-    """Write whole rows as Parquet in the shared folder and read them again."""
+    """Write whole rows as Parquet in the shared folder and read them again; for many rows, as it is smaller than a checkpoint."""
     path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, parts: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -54,6 +57,24 @@ def small(df: DataFrame, parts: str | None = None, limit: int = BROADCAST_ROWS)
     return F.broadcast(df) if count <= limit else df
 
 
+def among(rows: DataFrame, keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` without most of those whose 64-bit hash ``column`` isn't among ``keys``, which the join that follows then needn't shuffle.
+
+    ``keys`` is settled.  Few keys are left to a broadcast join.  More of them set a bit
+    each, by their first ``bits`` bits, and a map of ``2**bits`` bits, whatever the size of
+    the table, is broadcast; none is made for so many keys that it would be full.
+    """
+    count = keys.count()
+    if count <= BROADCAST_ROWS or count > 1 << bits:
+        return rows
+    value = F.shiftrightunsigned(column, 64 - bits) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(value).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("__bits"))
+    place = F.bitmap_bit_position(value)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn("__bucket", F.bitmap_bucket_number(value)).join(F.broadcast(maps), "__bucket")
+    return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def text_of(name: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -43,7 +43,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import settle, small, table
+from tablesift.llm.common import among, rewritten, settle, small, table
 
 #: Words of a run that is hashed as fingerprint; a passage shares its windows' runs.
 GRAM = 16
@@ -129,13 +129,14 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
 
     ``units`` has d, the number of a document in their order, and __text.
     """
-    ranges = settle(fingerprints(units, min_words, gram)).select("d", F.explode("ranges").alias("r")).select("d", "r.*")
+    ranges = rewritten(fingerprints(units, min_words, gram).select("d", F.explode("ranges").alias("r")).select("d", "r.*"))
     shared = ranges.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), F.min("d").alias("at")).filter("n > 1")
-    met = settle(ranges.join(small(settle(shared.select("h", (F.col("least") < F.col("most")).alias("mixed"), "at"))), "h"))
+    shared = settle(shared.select("h", (F.col("least") < F.col("most")).alias("mixed"), "at"))
+    met = rewritten(among(ranges, shared, "h").join(small(shared), "h"))
     # Ranges of one fingerprint that differ: first documents by all their words.
     mixed = met.filter("mixed").drop("at")
     kinds = settle(mixed.groupBy("h", "whole").agg(F.min("d").alias("at")))
-    mixed = settle(mixed.join(small(kinds), ["h", "whole"]).select("h", "d", "first", "last", "at"))
+    mixed = rewritten(mixed.join(small(kinds), ["h", "whole"]).select("h", "d", "first", "last", "at"))
     equal = met.filter("NOT mixed").select("h", "d", "first", "last", "at")
     whole = equal.union(mixed).filter("d <> at").select("d", "first", "last")
 
@@ -143,7 +144,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     own = equal.withColumn("hashed", F.lit(False)).union(mixed.withColumn("hashed", F.lit(True))).filter("d = at").drop("at")
     back = settle(own.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("back")).filter("n > 1").drop("n"))
     rest = own.join(small(back), ["h", "d"], "left").filter("hashed OR first > back").drop("h")
-    rest = settle(rest.groupBy("d").agg(F.collect_list(F.struct("first", "last", "back", "hashed")).alias("rest")))
+    rest = rewritten(rest.groupBy("d").agg(F.collect_list(F.struct("first", "last", "back", "hashed")).alias("rest")))
     # Where the ranges are too many to broadcast, the documents may not be, so that only their texts are shuffled.
     few = small(rest.select("d"))
     found = units.join(few, "d", "left_semi").join(small(rest, "rest"), "d")
@@ -155,7 +156,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     inner = lambda r: F.filter(F.sequence(r["first"], r["last"]), lambda p: r["hashed"] | (F.get("line", r["back"] + p - r["first"]) < F.get("line", p)))
     window = lambda c, p, r: F.struct(p.alias("p"), F.when(r["hashed"], F.coalesce(F.get("line", p), F.lit(0))).alias("line"), F.when(r["hashed"], F.xxhash64(_run(c, p, min_words))).alias("h"))
     windows = _with("codes", lambda c: F.flatten(F.transform("rest", lambda r: F.transform(inner(r), lambda p: window(c, p, r)))))
-    windows = settle(found.select("d", F.explode(windows).alias("v")).select("d", "v.*"))
+    windows = rewritten(found.select("d", F.explode(windows).alias("v")).select("d", "v.*"))
     hashed = windows.filter("h IS NOT NULL")
     first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
     again = hashed.join(small(settle(first)), "h").filter((F.col("d") != F.col("at.d")) | (F.col("line") > F.col("at.line")))
