@@ -47,9 +47,9 @@ FACTORS = 8
 #: Standard deviations from the mean that a term's share of toxic rows must differ to get weights.
 LEAST_Z = 3.0
 #: The most frequent terms, of which pairs are tried; and by how many deviations the share of toxic rows
-#: with both must differ from the shares of each; and the least rows that have both.
+#: with both must differ from the shares of each, of half a million pairs; and the least rows that have both.
 PAIR_TERMS = 1024
-LEAST_PAIR_Z = 5.0
+LEAST_PAIR_Z = 7.0
 PAIR_ROWS = 10
 EPOCHS = 300
 #: Lengths of the stems, in bytes.
