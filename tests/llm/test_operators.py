@@ -492,6 +492,34 @@ def test_op7_against_plain_search(spark, sf_dir):
     assert {r.doc_id: r.text for r in QUERIES["op7_line_dedup"](spark, sf_dir).collect()} == plain_passages(rows)
 
 
+def test_keys_among_many(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    hashed = lambda n, step: spark.range(0, n, step).select("id", F.xxhash64("id").alias("h"))
+    keys = common.settle(hashed(4000, 4).select("h"))
+    left = {r.id for r in common.among(hashed(4000, 1), keys, "h").collect()}
+    assert set(range(0, 4000, 4)) <= left and len(left) < 1010
+    assert common.among(hashed(100, 1), keys, "h", bits=9).count() == 100  # too many keys for the map
+
+
+def test_repeats_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common.small, "__defaults__", (None, 0))
+    rng = random.Random(12)
+    some = lambda n: " ".join(f"w{rng.randrange(10**7)}" for _ in range(n))
+    again = [some(rng.randint(50, 120)) for _ in range(8)]
+    rows = [(i, f"{some(rng.randint(0, 40))}\n{rng.choice(again)}. {some(20)} {rng.choice(again)}\n{some(9)}") for i in range(60)]
+    got = {r.doc_id: r.text for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+    assert got == plain_passages(rows)
+
+
+def test_very_long_lines(spark):
+    rng = random.Random(11)
+    shared = " ".join(f"w{rng.randrange(10**6)}" for _ in range(20_000))
+    rows = [(1, f"{filler(rng)} {shared} end one"), (2, f"{shared[:60_000]} other {shared[60_000:]} end two")]
+    got = {r.doc_id: r.text for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+    assert got[1] == rows[0][1] and len(got[2]) < 100 and " other " in got[2] and got[2].endswith(" end two")
+
+
 # 8
 
 
