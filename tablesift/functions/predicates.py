@@ -36,8 +36,20 @@ SQL_PII = rf"(?i){EMAIL}|(?:^|[^0-9]){PHONE}(?:[^0-9]|$)"
 
 
 def contains_code(text: Column) -> Column:
-    """False for null."""
-    return F.coalesce(text.rlike("(?U)" + CODE), F.lit(False))
+    """False for null.
+
+    Fixed strings are looked for first, and each pattern only where the characters are
+    that it can't do without, so most texts are never walked by a pattern.
+    """
+    has = lambda *parts: reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
+    found = (
+        has("#", "->", "::", "..", "=>")
+        | (has("/*") & text.rlike("(?U)" + CODE_COMMENT))
+        | (has("System.out.println", "console.log", "print", "echo", "scanf", "cin", "cout") & text.rlike("(?U)" + CODE_OUTPUT))
+        | (has("(") & has("{", ":", "function") & text.rlike("(?U)" + CODE_DEFINITION))
+        | (has("=") & text.rlike("(?U)" + CODE_TYPED))
+    )
+    return F.coalesce(found, F.lit(False))
 
 
 def contains_pii(text: Column) -> Column:

@@ -175,6 +175,10 @@ class TableFilter(ABC):
     @abstractmethod
     def accepts(self, facts: TableFacts) -> bool: ...
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        """The same as an expression over the rows of ``column_profile`` in an array."""
+        raise NotImplementedError(f"{type(self).__name__} isn't an expression")
+
 
 class RowCountFilter(TableFilter):
     def __init__(self, min_rows: int, max_rows: int | None = None):
@@ -183,6 +187,10 @@ class RowCountFilter(TableFilter):
     def accepts(self, facts: TableFacts) -> bool:
         return self.min_rows <= facts.rows and (self.max_rows is None or facts.rows <= self.max_rows)
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        rows = F.coalesce(F.get(columns, F.lit(0))["n"], F.lit(0))
+        return (rows >= self.min_rows) & (F.lit(True) if self.max_rows is None else rows <= self.max_rows)
+
 
 class ColumnCountFilter(TableFilter):
     stage = 0
@@ -194,6 +202,9 @@ class ColumnCountFilter(TableFilter):
         count = len(facts.df.columns)
         return self.min_columns <= count and (self.max_columns is None or count <= self.max_columns)
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        return F.lit(self.accepts(TableFacts(df)))
+
 
 def header_flags(names: Column) -> dict[str, Column]:
     """Of an array of headers: the share of numeric and of unnamed ones, whether one is key and value, and whether all are one object."""
@@ -228,6 +239,10 @@ class BadHeadersFilter(TableFilter):
         names = F.array(*[F.lit(c) for c in facts.df.columns]) if facts.df.columns else F.array().cast("array<string>")
         return not facts.df.sparkSession.range(1).select(bad_headers(names, self.max_frac_numeric, self.max_frac_unnamed)).first()[0]
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        names = F.transform(columns, lambda c: c["col_name"])
+        return ~bad_headers(names, self.max_frac_numeric, self.max_frac_unnamed)
+
 
 class SchemaFilter(TableFilter):
     stage = 0
@@ -238,6 +253,9 @@ class SchemaFilter(TableFilter):
     def accepts(self, facts: TableFacts) -> bool:
         return self.min_dtypes is None or len({t for _, t in facts.df.dtypes}) >= self.min_dtypes
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        return F.lit(self.accepts(TableFacts(df)))
+
 
 class ValidColumnCountFilter(TableFilter):
     def __init__(self, max_header_len: int, min_unique: int, max_null_like: float | None, min_columns: int):
@@ -246,6 +264,13 @@ class ValidColumnCountFilter(TableFilter):
     def accepts(self, facts: TableFacts) -> bool:
         return len(valid_columns(facts.columns(self.min_unique), self.max_header_len, self.max_null_like)) >= self.min_columns
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        def valid(c: Column) -> Column:
+            good = (F.length(c["col_name"]) < self.max_header_len) & c["enough_unique"]
+            return good if self.max_null_like is None else good & (c["frac_null_like"] < self.max_null_like)
+
+        return F.size(F.filter(columns, valid)) >= self.min_columns
+
 
 class CodeDetectionFilter(TableFilter):
     def __init__(self, threshold: float | None = None):
@@ -254,6 +279,9 @@ class CodeDetectionFilter(TableFilter):
     def accepts(self, facts: TableFacts) -> bool:
         return self.threshold is None or all(c.frac_code <= self.threshold for c in facts.columns())
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        return F.lit(True) if self.threshold is None else F.forall(columns, lambda c: c["frac_code"] <= self.threshold)
+
 
 class PIIDetectionFilter(TableFilter):
     """With a threshold set, any personal data rejects; ``strict`` compares the share with the threshold instead."""
@@ -265,6 +293,10 @@ class PIIDetectionFilter(TableFilter):
         most = self.threshold if self.strict else 0.0
         return self.threshold is None or all(c.frac_pii <= most for c in facts.columns())
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        most = self.threshold if self.strict else 0.0
+        return F.lit(True) if self.threshold is None else F.forall(columns, lambda c: c["frac_pii"] <= most)
+
 
 class ClassifierBasedFilter(TableFilter):
     stage = 2
@@ -293,6 +325,9 @@ class EnglishFilter(TableFilter):
         headers = F.lit(" ".join(c.replace("\n", "") for c in facts.df.columns))
         return facts.df.sparkSession.range(1).select(P.is_english(self.detector(headers), self.threshold)).first()[0]
 
+    def decision(self, columns: Column, df: DataFrame) -> Column:
+        return P.is_english(self.detector(F.array_join(F.transform(columns, lambda c: F.replace(c["col_name"], F.lit("\n"), F.lit(""))), " ")), self.threshold)
+
 
 class TableFilterChain(_Chain):
     kind = TableFilter
@@ -303,3 +338,10 @@ class TableFilterChain(_Chain):
             return False
         facts = TableFacts(df, next((f.min_unique for f in self.filters if isinstance(f, ValidColumnCountFilter)), 2))
         return all(f.accepts(facts) for f in sorted(self.filters, key=lambda f: f.stage))
+
+    def decided(self, df: DataFrame) -> DataFrame:
+        """``accepted`` as one row, lazily, by filters that need no model: the decisions on many tables are one job."""
+        least = next((f.min_unique for f in self.filters if isinstance(f, ValidColumnCountFilter)), 2)
+        profile = column_profile(df, least)
+        row = profile.agg(F.sort_array(F.collect_list(F.struct(*profile.columns))).alias("columns"))
+        return row.select(reduce(lambda a, b: a & b, [f.decision(F.col("columns"), df) for f in self.filters], F.lit(True)).alias("accepted"))

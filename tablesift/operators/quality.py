@@ -32,8 +32,10 @@ def fit(features: DataFrame, names: list[str], label: str = "quality", trials: i
     """Fit on all rows given; with more than one trial, tree depth and step are searched."""
     trees = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=4, seed=seed)
     stages = [Imputer(inputCols=names, outputCols=[f"{n}__in" for n in names]), VectorAssembler(inputCols=[f"{n}__in" for n in names], outputCol="features", handleInvalid="keep")]
-    # A column without any value can't be imputed; it tells nothing.
-    rows = prepared(features, names).withColumn(label, F.col(label).cast("double")).fillna(0.0, [n for n in names if n])
+    rows = prepared(features, names).withColumn(label, F.col(label).cast("double"))
+    # A column without any value can't be imputed; it tells nothing, and is 0.
+    held = rows.agg(*[F.count(n).alias(f"c{i}") for i, n in enumerate(names)]).first()
+    rows = rows.fillna(0.0, [n for i, n in enumerate(names) if not held[i]])
     if trials > 1:
         depths = [3, 4, 5, 6][: max(1, min(4, trials // 2))]
         grid = ParamGridBuilder().addGrid(trees.maxDepth, depths).addGrid(trees.stepSize, [0.05, 0.1]).build()
@@ -43,7 +45,7 @@ def fit(features: DataFrame, names: list[str], label: str = "quality", trials: i
 
 def scored(features: DataFrame, model: PipelineModel, names: list[str]) -> DataFrame:
     """Add ``score``, the probability of label 1; features are found by name, in the order of the model."""
-    rows = prepared(features, names).fillna(0.0, names)
+    rows = prepared(features, names)
     made = {f"{n}__in" for n in names} | {"features", "rawPrediction", "prediction"}
     out = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
     return out.drop(*made, "probability")

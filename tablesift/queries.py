@@ -196,7 +196,7 @@ def _accept_sql(t: str) -> str:
 @query(" UNION ALL ".join(_accept_sql(t) for t in STRINGS))
 def table_accept_v6(spark, sf_dir):
     chain = chains.table_chain(V6)
-    return spark.createDataFrame([(t, chain.accepts(read(spark, sf_dir, t))) for t in STRINGS], "tbl string, accepted boolean")
+    return reduce(DataFrame.unionAll, [chain.decided(read(spark, sf_dir, t)).select(F.lit(t).alias("tbl"), "accepted") for t in STRINGS])
 
 
 # Deduplication
@@ -454,6 +454,27 @@ def corpus_clean(spark, sf_dir):
     return corpus.cleaned(_conversations(spark, sf_dir), _SMALL, _AnyEnglish()).select("content_hash", "nrows", "ncols")
 
 
+_NAMES = {"turn": "number", "talk": "code", "role": "type", "text": "status"}
+
+
+@query(f"SELECT content_hash AS table_id, nrows AS rows, NULL::VARCHAR AS error FROM ({ORACLE_SQL['corpus_clean']})")
+def corpus_run(spark, sf_dir):
+    """From shards to the manifest: conversations as tables in shards, each twice, and one broken; dedup index, cleaning, a file for each table."""
+    import uuid
+
+    from tablesift.streaming.runner import shared_folder
+
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    turns = read(spark, sf_dir, "conversations").withColumn("talk", F.concat(F.lit("t"), "turn")).withColumnsRenamed(_NAMES)
+    tables = arrow_tables.blobs(turns, "conv_id", list(_NAMES.values()), ["number", "status"])
+    rows = tables.select(F.explode(F.array(*[F.concat(F.lit(job), "content_hash") for job in ("a/", "b/")])).alias("key"), "arrow_bytes", F.pmod(F.crc32("content_hash"), F.lit(4)).alias("part"))
+    broken = spark.range(1).select(F.lit("a/broken").alias("key"), F.lit(b"no table").alias("arrow_bytes"), F.lit(0).cast("long").alias("part"))
+    rows.unionByName(broken).write.partitionBy("part").parquet(f"{folder}/shards")
+    corpus.dedup(spark, f"{folder}/shards", f"{folder}/index")
+    manifest = corpus.process(spark, f"{folder}/shards", f"{folder}/index", f"{folder}/tables", _SMALL)
+    return manifest.select("table_id", "rows", "error")
+
+
 @query()
 def quality_model(spark, sf_dir):
     """A quality model of documents: fit on a split of the labels, evaluated on the rest."""

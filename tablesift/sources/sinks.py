@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.csv
 import pyarrow.parquet
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,21 +31,35 @@ def chunk_directory(directory: str, index: int) -> str:
     return f"{directory}/chunk-{index:04}"
 
 
-def write_tables(corpus: DataFrame, directory: str, file_format: str = "parquet", table_id: str = "content_hash", blob: str = "arrow_bytes") -> DataFrame:
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as a URI of the file system that Spark finds it in."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
+def write_tables(corpus: DataFrame, directory: str, file_format: str = "parquet", table_id: str = "content_hash", blob: str = "arrow_bytes", shared_mount: bool = False) -> DataFrame:
     """One file per table; returns the manifest, lazily, so use it once.
 
-    ``directory`` is a path or URI that all executors reach.  A file's name is
-    the table's id, so a task that runs again writes the same file again.  Null
-    blobs are left out; what fails is a row of the manifest with its error.
+    ``directory`` is a path or URI that all executors reach; Spark's default file
+    system counts where it has no scheme, and a folder of one machine is refused on
+    a cluster unless ``shared_mount`` says that all executors have it.  A file's name is
+    the table's id; it is written under a name of the attempt and then renamed, so what
+    stands there is whole, whatever tasks run again or twice.  Null blobs are left
+    out; what fails is a row of the manifest with its error.
     """
     if file_format not in ("parquet", "csv"):
         raise ValueError("file_format is 'parquet' or 'csv'")
+    directory = qualified(corpus.sparkSession, directory)
+    if directory.startswith("file:") and not shared_mount and not corpus.sparkSession.sparkContext.master.startswith("local"):
+        raise ValueError(f"executors don't share this folder: {directory}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(directory) if "://" in directory or directory.startswith(("/", "file:")) else (fs.LocalFileSystem(), directory)
+        store, base = fs.FileSystem.from_uri(directory)
         store.create_dir(base, recursive=True)
+        attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
             for i in range(batch.num_rows):
                 name, data = batch.column(table_id)[i].as_py(), batch.column(blob)[i].as_py()
@@ -54,8 +69,9 @@ def write_tables(corpus: DataFrame, directory: str, file_format: str = "parquet"
                 table, error = decoded(data)
                 if table is not None:
                     try:
-                        with store.open_output_stream(path) as out:
+                        with store.open_output_stream(f"{path}.{attempt}") as out:
                             (pyarrow.parquet.write_table if file_format == "parquet" else pyarrow.csv.write_csv)(table, out)
+                        store.move(f"{path}.{attempt}", path)
                         rows = table.num_rows
                     except (pa.ArrowException, OSError) as failed:
                         error = f"{type(failed).__name__}: {failed}"[:500]

@@ -170,7 +170,7 @@ def test_streams(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", bytearray(blob(x=[1]))), ("b", None), ("c", bytearray(b"no"))], "content_hash string, arrow_bytes binary")
     got = {r.table_id: r for r in sinks.write_tables(df, str(tmp_path / "o")).collect()}
-    assert got["a"].rows == 1 and "b" not in got and got["c"].error
+    assert got["a"].rows == 1 and "b" not in got and got["c"].error and os.listdir(tmp_path / "o") == ["a.parquet"]
     with pytest.raises(ValueError):
         sinks.write_tables(df, "x", "json")
     sinks.write_run(str(tmp_path / "r.json"), a=1)
