@@ -98,6 +98,15 @@ def _gaps(points: Column, low: Column, high: Column, span: int) -> Column:
     return F.filter(each, lambda g: g["low"] <= g["high"])
 
 
+def _exploded(df: DataFrame, structs: Column, key: str) -> DataFrame:
+    """A row for each struct of an array.
+
+    Not by ``explode``: Spark would look first whether the array is empty, in a filter that it
+    pushes down, and so make the array twice.
+    """
+    return df.select(key, F.explode_outer(structs).alias("r")).filter(F.col("r").isNotNull()).select(key, "r.*")
+
+
 def fingerprints(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
     """Of each document with enough words: d and ``ranges``, structs of first and last window, fingerprint, and hash of all words."""
     span = min_words - gram + 1
@@ -129,7 +138,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
 
     ``units`` has d, the number of a document in their order, and __text.
     """
-    ranges = rewritten(fingerprints(units, min_words, gram).select("d", F.explode("ranges").alias("r")).select("d", "r.*"))
+    ranges = rewritten(_exploded(fingerprints(units, min_words, gram), F.col("ranges"), "d"))
     shared = ranges.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), F.min("d").alias("at")).filter("n > 1")
     shared = settle(shared.select("h", (F.col("least") < F.col("most")).alias("mixed"), "at"))
     met = rewritten(among(ranges, shared, "h").join(small(shared), "h"))
@@ -156,7 +165,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     inner = lambda r: F.filter(F.sequence(r["first"], r["last"]), lambda p: r["hashed"] | (F.get("line", r["back"] + p - r["first"]) < F.get("line", p)))
     window = lambda c, p, r: F.struct(p.alias("p"), F.when(r["hashed"], F.coalesce(F.get("line", p), F.lit(0))).alias("line"), F.when(r["hashed"], F.xxhash64(_run(c, p, min_words))).alias("h"))
     windows = _with("codes", lambda c: F.flatten(F.transform("rest", lambda r: F.transform(inner(r), lambda p: window(c, p, r)))))
-    windows = rewritten(found.select("d", F.explode(windows).alias("v")).select("d", "v.*"))
+    windows = rewritten(_exploded(found, windows, "d"))
     hashed = windows.filter("h IS NOT NULL")
     first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
     again = hashed.join(small(settle(first)), "h").filter((F.col("d") != F.col("at.d")) | (F.col("line") > F.col("at.line")))
