@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesift.functions import predicates as P
-from tablesift.functions.kinds import BOOL, DATETIME, NUMERIC, OBJECT, kind, named, normalised
+from tablesift.functions.kinds import BOOL, DATETIME, NUMERIC, OBJECT, as_text, kind, named, normalised
 from tablesift.operators.dedup import duplicate_count
 
 GENERIC = ("missing", "missing_frac", "most_frequent_count", "most_frequent_frac", "least_frequent_count", "least_frequent_frac", "entropy")
@@ -54,8 +54,8 @@ def _over(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
 
 
-def generic(counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Generic statistics from (keys, value, c): how often each value occurs, null values included."""
+def generic(counted: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Generic statistics from (keys, value, c): how often each value occurs, null values included; ``more`` are further aggregates."""
     c, there = F.col("c"), F.col("value").isNotNull()
     held = F.when(there, c)
     n, m = F.sum("c"), F.coalesce(F.sum(held), F.lit(0))
@@ -64,7 +64,7 @@ def generic(counted: DataFrame, keys: list[str]) -> DataFrame:
     most, least = F.coalesce(F.max(held), F.lit(0)), F.coalesce(F.min(held), F.lit(0))
     return counted.groupBy(*keys).agg(
         (n - m).cast("double").alias("missing"), _over(n - m, n).alias("missing_frac"), most.cast("double").alias("most_frequent_count"), _over(most, m).alias("most_frequent_frac"),
-        least.cast("double").alias("least_frequent_count"), _over(least, m).alias("least_frequent_frac"), entropy.alias("entropy"),
+        least.cast("double").alias("least_frequent_count"), _over(least, m).alias("least_frequent_frac"), entropy.alias("entropy"), *more,
     )
 
 
@@ -88,7 +88,7 @@ def _own(df: DataFrame, name: str, kind_: str, order: Column | None) -> DataFram
     if kind_ == OBJECT:
         text = x.cast("string") if dict(df.dtypes)[name] not in ("binary",) else P.decoded(x)
         length = F.length(F.coalesce(text, F.lit("None"))).cast("double")
-        return df.agg(F.count_distinct(text).cast("double").alias("n_unique"), F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("mean_length"), F.percentile(length, F.lit(0.5)).alias("median_length"))
+        return df.agg(F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("mean_length"), F.percentile(length, F.lit(0.5)).alias("median_length"))
     if kind_ == DATETIME:
         micros = F.unix_micros(x.cast("timestamp"))
         span = (F.max(micros) - F.min(micros)) / 1e6
@@ -126,9 +126,11 @@ def column_summary(df: DataFrame, name: str, order: Column | None = None, kind_:
     df = normalised(df)
     field = df.schema[name]
     kind_ = kind_ or kind(field.dataType)
-    value = named(name) if kind_ != OBJECT else named(name).cast("string")
+    # Texts are told apart by a digest, so that no long value is shuffled.
+    value = named(name) if kind_ != OBJECT else F.md5(named(name).cast("binary" if dict(df.dtypes)[name] in ("string", "binary") else "string"))
     counted = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("c"))
-    both = generic(counted.withColumn("__one", F.lit(1)), ["__one"]).join(_own(df, name, kind_, order).withColumn("__one", F.lit(1)), "__one")
+    unique = [F.count("value").cast("double").alias("n_unique")] if kind_ == OBJECT else []
+    both = generic(counted.withColumn("__one", F.lit(1)), ["__one"], *unique).join(_own(df, name, kind_, order).withColumn("__one", F.lit(1)), "__one")
     return both.drop("__one")
 
 
@@ -164,14 +166,78 @@ def over_columns(stats: DataFrame, keys: list[str], by: list[str] | None = None)
     return stats.groupBy(*(by or [])).agg(*wide)
 
 
+def cells_of(df: DataFrame, order: Column | None = None, table_id: str = "") -> DataFrame:
+    """The cells of one table as rows, in one scan; ``order`` is the row order, for dates."""
+    df = normalised(df)
+    made = [F.struct(F.lit(i).alias("col_idx"), F.lit(f.name).alias("col_name"), F.lit(kind(f.dataType)).alias("kind"), as_text(named(f.name), f.dataType).alias("value")) for i, f in enumerate(df.schema)]
+    row = (order if order is not None else F.monotonically_increasing_id()).cast("long")
+    return df.select(F.lit(table_id).alias("table_id"), row.alias("row_idx"), F.explode(F.array(*made)).alias("cell")).select("table_id", "row_idx", "cell.*")
+
+
+def column_statistics(cells: DataFrame) -> DataFrame:
+    """All column keys for every column of every table, from its cells: table_id, col_idx, col_name, kind and a double per key, null where it is of another kind."""
+    by, value, more = ["table_id", "col_idx"], F.col("value"), F.col("m") > 1
+    of = lambda k, c: F.when(F.col("kind") == k, c)
+    # Long values are told apart by a digest.
+    short = F.when(F.length(value) > 32, F.md5(value.cast("binary"))).otherwise(value)
+    counted = cells.groupBy(*by, short.alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    every = generic(counted, by, F.count("value").cast("double").alias("n_unique"))
+    x, length, micros = of(NUMERIC, value.try_cast("double")), of(OBJECT, F.length(F.coalesce(value, F.lit("None"))).cast("double")), of(DATETIME, F.unix_micros(value.try_cast("timestamp")))
+    heads = cells.groupBy(*by).agg(F.first("col_name").alias("col_name"), F.first("kind").alias("kind"), F.avg(x).alias("__mean"))
+    span = (F.max(micros) - F.min(micros)) / 1e6
+    own = cells.join(heads.select(*by, "__mean"), by).groupBy(*by).agg(
+        kurtosis(x).alias("kurtosis"), skewness(x).alias("skewness"), F.avg(F.abs(x - F.col("__mean"))).alias("mad"), F.stddev_samp(x).alias("std"), F.avg(of(BOOL, (value == "True").cast("int"))).alias("bool_mean"),
+        F.min(length).alias("min_length"), F.max(length).alias("max_length"), F.avg(length).alias("mean_length"), F.percentile(length, F.lit(0.5)).alias("median_length"), span.alias("span"), F.count(micros).alias("m"),
+    )
+    held = {"time_span_secs": F.col("span"), "time_span_days": F.col("span") / 86400, "time_span_years": F.col("span") / 86400 / 365.25, "timedelta_mean": F.col("span") / F.nullif(F.col("m") - 1, F.lit(0))}
+    own = own.withColumns({k: F.when(more, v).otherwise(0.0) for k, v in held.items()})
+    joined = heads.join(every, by).join(own, by).join(_rising(cells.filter(F.col("kind") == DATETIME), micros), by, "left")
+    header = {"header_num_chars": P.header_chars, "header_num_underscore": P.header_underscores, "header_num_words": P.header_words}
+    keys = {f"{p}{s}": F.when(F.col("kind") == k, F.col(s).cast("double")) for k, p in _PREFIX.items() for s in GENERIC + OWN[p]} | {k: f(F.col("col_name")) for k, f in header.items()}
+    return joined.select(*by, "col_name", "kind", *[keys[k].alias(k) for k in column_keys()])
+
+
+def _rising(cells: DataFrame, micros: Column) -> DataFrame:
+    """Whether the dates of each column rise or fall in row order, by blocks of rows."""
+    from pyspark.sql import Window
+
+    by = ["table_id", "col_idx"]
+    rows = cells.select(*by, "row_idx", F.floor(F.col("row_idx") / 100_000).alias("block"), micros.alias("t")).filter("t IS NOT NULL")
+    steps = rows.withColumn("d", F.col("t") - F.lag("t").over(Window.partitionBy(*by, "block").orderBy("row_idx")))
+    blocks = steps.groupBy(*by, "block").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min_by("t", "row_idx").alias("first"), F.max_by("t", "row_idx").alias("last"))
+    joint = blocks.withColumn("d", F.col("first") - F.lag("last").over(Window.partitionBy(*by).orderBy("block")))
+    lo, hi = F.min(F.least("lo", "d")), F.max(F.greatest("hi", "d"))
+    return joint.groupBy(*by).agg(F.when(lo.isNull(), 0.0).when((lo >= 0) | (hi <= 0), 1.0).otherwise(0.0).alias("is_monotonic"))
+
+
 def table_features(df: DataFrame, order: Column | None = None) -> DataFrame:
-    """All features of a table as one row."""
-    columns = reduce(lambda a, b: a.unionByName(b), [single_column_features(df, c, order) for c in df.columns])
+    """All features of a table as one row; its cells are read in a few scans, however many columns there are."""
     own = table_summary(df)
-    both = over_columns(columns, column_keys()).crossJoin(own.select(*[F.col(c).alias(f"table_{c}") for c in own.columns]))  # one row each
+    both = over_columns(column_statistics(cells_of(df, order)), column_keys()).crossJoin(own.select(*[F.col(c).alias(f"table_{c}") for c in own.columns]))  # one row each
     return both.select(*feature_names())
 
 
+def features_of_tables(cells: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """All features of every table, table_id and one row each, from the tables' cells.
+
+    ``facts`` has the types of each table's columns (table_id, dtypes); without it the kinds of columns are counted as types.
+    """
+    columns = column_statistics(cells)
+    whole = F.md5(F.to_json(F.array_sort(F.collect_list(F.struct("col_idx", "value")))))
+    rows = cells.groupBy("table_id", "row_idx").agg(whole.alias("digest")).groupBy("table_id", "digest").agg(F.count(F.lit(1)).alias("c"))
+    rows = rows.groupBy("table_id").agg(F.sum(F.col("c") - 1).alias("duplicate_count"), F.sum("c").alias("n"))
+    count = lambda *kinds: F.sum(F.col("kind").isin(*kinds).cast("int"))
+    kinds = columns.groupBy("table_id").agg(
+        F.count(F.lit(1)).alias("ncols"), count(NUMERIC, BOOL).alias("dtype_numeric_count"), count(BOOL).alias("dtype_bool_count"), count(OBJECT).alias("dtype_object_count"), count(DATETIME).alias("dtype_datetime_count"),
+        F.size(F.collect_set("kind")).alias("dtype_unique_count"),
+    )
+    if facts is not None:
+        kinds = kinds.drop("dtype_unique_count").join(facts.select("table_id", F.size(F.array_distinct("dtypes")).alias("dtype_unique_count")), "table_id")
+    own = rows.join(kinds, "table_id").withColumns({"duplicate_frac": _over(F.col("duplicate_count"), F.col("n"))} | {f"dtype_{k}_frac": F.col(f"dtype_{k}_count") / F.col("ncols") for k in ("numeric", "bool", "object", "datetime")})
+    own = own.select("table_id", *[F.col(k).cast("double").alias(f"table_{k}") for k in TABLE])
+    return over_columns(columns, column_keys(), ["table_id"]).join(own, "table_id").select("table_id", *feature_names())
+
+
 def pairwise_pearson(df: DataFrame, names: list[str]) -> DataFrame:
     """Pearson's r of every pair of numeric columns, in one aggregation; rows with a null in either don't count."""
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
@@ -191,10 +257,35 @@ def mutual_information(df: DataFrame, a: str, b: str, bins: int = 32) -> DataFra
     return sums.agg(F.sum(F.col("c") / F.col("n") * F.ln(F.col("c") * F.col("n") / (F.col("ci") * F.col("cj")))).alias("mutual_information"))
 
 
-def score_quantiles(scores: DataFrame, score: str, at: tuple[float, ...] = (0.5, 0.75, 0.8, 0.85, 0.9, 0.95, 0.975, 0.99, 0.999)) -> DataFrame:
-    """Linear quantiles of a score, one row each."""
-    got = scores.agg(F.percentile(score, F.array(*[F.lit(q) for q in at])).alias("v"))
-    return got.select(F.explode(F.arrays_zip(F.array(*[F.lit(q) for q in at]).alias("q"), F.col("v").alias("value"))).alias("z")).select(F.col("z.q").alias("quantile"), F.col("z.value").alias("value"))
+def score_quantiles(scores: DataFrame, score: str, at: tuple[float, ...] = (0.5, 0.75, 0.8, 0.85, 0.9, 0.95, 0.975, 0.99, 0.999), bins: int = 65_536) -> DataFrame:
+    """Linear quantiles of a score, one row each, exact.
+
+    Scores are counted in bins of equal width; only those in the bins where quantiles lie are put in
+    order, so no task holds all of them.
+    """
+    from pyspark.sql import Window
+
+    rows = scores.select(F.col(score).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+    ends = rows.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
+    width = (F.col("hi") - F.col("lo")) / bins
+    binned = rows.crossJoin(F.broadcast(ends)).select("v", "n", F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0).alias("bin"))  # one row
+    counts = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))  # at most ``bins`` rows
+    counts = counts.withColumn("before", F.sum("c").over(Window.orderBy("bin")) - F.col("c"))
+    place = lambda q: F.lit(q) * (F.col("n") - 1)
+    meets = lambda q: (F.floor(place(q) + 1) >= F.col("before")) & (F.floor(place(q)) < F.col("before") + F.col("c"))
+    near = counts.filter(reduce(lambda a, b: a | b, [meets(q) for q in at])).select("bin", "before")
+    ranked = binned.join(F.broadcast(near), "bin").groupBy("bin", "before", "n", "v").agg(F.count(F.lit(1)).alias("c"))
+    ranked = ranked.withColumn("last", F.col("before") + F.sum("c").over(Window.partitionBy("bin").orderBy("v")) - 1).withColumn("first", F.col("last") - F.col("c") + 1)
+
+    def held(position: Column) -> Column:
+        return F.max(F.when((F.col("first") <= position) & (position <= F.col("last")), F.col("v")))
+
+    def value(q: float) -> Column:
+        low, high, part = held(F.floor(place(q))), held(F.least(F.floor(place(q)) + 1, F.col("n") - 1)), F.max(place(q) - F.floor(place(q)))
+        return low + (high - low) * part
+
+    got = ranked.agg(*[value(q).alias(f"q{i}") for i, q in enumerate(at)])
+    return got.select(F.explode(F.array(*[F.struct(F.lit(q).alias("quantile"), F.col(f"q{i}").alias("value")) for i, q in enumerate(at)])).alias("z")).select("z.*")
 
 
 def majority_accuracy(df: DataFrame, label: str) -> DataFrame:

@@ -346,7 +346,7 @@ _PER_COLUMN = " UNION ALL ".join(f"SELECT stddev_samp({c}) AS num_std, skewness(
 @query(f"SELECT {', '.join(f'round({f.format(k)}, 6) AS {k}_{a}' for k in ('num_std', 'num_skewness', 'num_entropy') for a, f in _AGGS.items())} FROM ({_PER_COLUMN})")
 def agg_over_columns(spark, sf_dir):
     df = read(spark, sf_dir, "lineitem")
-    columns = reduce(DataFrame.unionByName, [summarize.single_column_features(df, c) for c in _NUMERICS])
+    columns = summarize.column_statistics(summarize.cells_of(df.select(*_NUMERICS)))
     return _rounded(summarize.over_columns(columns, ["num_std", "num_skewness", "num_entropy"]))
 
 
@@ -454,6 +454,46 @@ def corpus_clean(spark, sf_dir):
     return corpus.cleaned(_conversations(spark, sf_dir), _SMALL, _AnyEnglish()).select("content_hash", "nrows", "ncols")
 
 
+def _features_sql() -> str:
+    """All features of each conversation as a table of turn, talk, role and text."""
+    cells = {"turn": "turn::VARCHAR", "talk": "concat('t', turn)", "role": "role", "text": "text"}
+    unpivoted = " UNION ALL ".join(f"SELECT conv_id, '{c}' AS c, {e} AS v FROM conversations" for c, e in cells.items())
+    stats = {
+        "missing": "g.missing", "missing_frac": "g.missing / g.n", "most_frequent_count": "g.most", "most_frequent_frac": "g.most / g.m", "least_frequent_count": "g.least", "least_frequent_frac": "g.least / g.m", "entropy": "g.entropy",
+        "kurtosis": "CASE WHEN t.n >= 4 THEN t.kurtosis END", "skewness": "CASE WHEN t.n >= 3 THEN t.skewness END", "mad": "t.mad", "std": "t.std",
+        "n_unique": "g.n_unique", "min_length": "o.min_length", "max_length": "o.max_length", "mean_length": "o.mean_length", "median_length": "o.median_length",
+        "header_num_chars": "length(g.c)", "header_num_underscore": "0", "header_num_words": "1",
+    }
+    keys = []
+    for key in summarize.column_keys():
+        prefix = next((p for p in summarize.OWN if key.startswith(p)), "")
+        kind = {"num_": "CASE WHEN g.c = 'turn' THEN {} END", "obj_": "CASE WHEN g.c <> 'turn' THEN {} END", "": "{}"}.get(prefix, "NULL")
+        keys.append(f"({kind.format(stats.get(key.removeprefix(prefix), 'NULL'))})::DOUBLE AS {key}")
+    features = [f"round({f.format(k)}, 6) AS {k}_{a}" for k in summarize.column_keys() for a, f in _AGGS.items()]
+    fixed = {"dtype_unique_count": 2, "ncols": 4, "dtype_numeric_count": 1, "dtype_numeric_frac": 0.25, "dtype_bool_count": 0, "dtype_bool_frac": 0, "dtype_object_count": 3, "dtype_object_frac": 0.75, "dtype_datetime_count": 0, "dtype_datetime_frac": 0}
+    table = ["d.dup::DOUBLE AS table_duplicate_count", "round(d.dup / d.n, 6) AS table_duplicate_frac", "d.n::DOUBLE AS table_n"] + [f"{v}::DOUBLE AS table_{k}" for k, v in fixed.items()]
+    return f"""WITH u AS ({unpivoted}),
+    k AS (SELECT conv_id, c, v, count(*) AS n FROM u GROUP BY ALL),
+    g AS (SELECT conv_id, c, coalesce(sum(n) FILTER (v IS NULL), 0) AS missing, coalesce(max(n) FILTER (v IS NOT NULL), 0) AS most, coalesce(min(n) FILTER (v IS NOT NULL), 0) AS least, sum(n) AS n,
+      sum(n) FILTER (v IS NOT NULL) AS m, count(v) AS n_unique, ln(sum(n) FILTER (v IS NOT NULL)) - sum(n * ln(n)) FILTER (v IS NOT NULL) / sum(n) FILTER (v IS NOT NULL) AS entropy FROM k GROUP BY conv_id, c),
+    o AS (SELECT conv_id, c, min(length(v)) AS min_length, max(length(v)) AS max_length, avg(length(v)) AS mean_length, quantile_cont(length(v), 0.5) AS median_length FROM u GROUP BY conv_id, c),
+    t AS (SELECT conv_id, count(turn) AS n, kurtosis(turn) AS kurtosis, skewness(turn) AS skewness, avg(abs(turn - mean)) AS mad, stddev_samp(turn) AS std
+      FROM conversations JOIN (SELECT conv_id, avg(turn) AS mean FROM conversations GROUP BY conv_id) USING (conv_id) GROUP BY conv_id),
+    s AS (SELECT g.conv_id, {', '.join(keys)} FROM g JOIN o USING (conv_id, c) JOIN t USING (conv_id)),
+    d AS (SELECT conv_id, count(*) AS n, count(*) - count(DISTINCT (turn, role, text)) AS dup FROM conversations GROUP BY conv_id),
+    f AS (SELECT conv_id, {', '.join(features)} FROM s GROUP BY conv_id)
+    SELECT f.conv_id::VARCHAR AS table_id, f.* EXCLUDE (conv_id), {', '.join(table)} FROM f JOIN d USING (conv_id)"""
+
+
+@query(_features_sql())
+def cell_features(spark, sf_dir):
+    """All 381 features of every table of a corpus, in one plan."""
+    tables = _conversations(spark, sf_dir)
+    facts = arrow_tables.with_facts(tables).select(F.col("content_hash").alias("table_id"), "dtypes")
+    got = summarize.features_of_tables(arrow_tables.cells(tables), facts)
+    return got.select("table_id", *[F.round(c, 6).alias(c) for c in got.columns if c != "table_id"])
+
+
 _NAMES = {"turn": "number", "talk": "code", "role": "type", "text": "status"}
 
 
