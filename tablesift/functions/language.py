@@ -1,17 +1,20 @@
 """Which language some text is in.
 
-A detector turns a column of text into a struct of lang and score.  A trained
-model can be plugged in; without one, a detector by frequent words and letters
-is used, which is meant for headers and short texts in a few languages only.
+A detector turns a column of text into a struct of lang and score.  One by
+trigrams is fitted on texts whose language is known; any other trained model can be
+plugged in.  Without one, a detector by frequent words is used, which is meant for
+headers and short texts in a few languages only.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RESULT = "struct<lang:string,score:double>"
@@ -63,6 +66,49 @@ class ModelDetector:
         return F.when(F.coalesce(text, F.lit("")) != "", detect(text))
 
 
+def trigrams(text: Column) -> Column:
+    """Runs of three characters of a text's words, lower-cased, with a space at either end of a word."""
+    words = F.filter(F.split(F.lower(text), r"(?U)[^\p{L}]+"), lambda w: w != "")
+    padded = F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+    return F.flatten(F.transform(padded, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, F.lit(3)))))
+
+
+def trigram_model(rows: DataFrame, text: str, lang: str, key: str, most: int = 2_000, kept: int = 1_500) -> dict[str, dict[str, float]]:
+    """Log probabilities of the ``kept`` most frequent trigrams of each language, and of any other under "".
+
+    Fitted on at most ``most`` rows of each language, by a digest of their key; Spark counts, and the
+    driver gets ``kept`` numbers for each language.
+    """
+    order = Window.partitionBy(lang).orderBy(F.md5(F.col(key).cast("string")), key)
+    sample = rows.filter(F.col(lang).isNotNull()).withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= most)
+    counts = sample.select(F.col(lang).alias("lang"), F.explode_outer(trigrams(F.col(text))).alias("gram")).filter("gram IS NOT NULL").groupBy("lang", "gram").count()
+    best = Window.partitionBy("lang").orderBy(F.desc("count"), "gram")
+    top = counts.withColumns({"rank": F.row_number().over(best), "total": F.sum("count").over(Window.partitionBy("lang"))}).filter(F.col("rank") <= kept)
+    model: dict[str, dict[str, float]] = {}
+    for r in top.collect():
+        model.setdefault(r.lang, {"": math.log(0.5 / r.total)})[r.gram] = math.log(r["count"] / r.total)
+    return model
+
+
+def trigram_detector(model: dict[str, dict[str, float]]) -> ModelDetector:
+    """A detector by a ``trigram_model``; the score is the share of the best language's probability, evened out by length."""
+
+    def predict(texts: list[str]) -> list[tuple[str, float]]:
+        out = []
+        for text in texts:
+            grams = [f" {w} "[i : i + 3] for w in re.findall(r"[^\W\d_]+", text.lower()) for i in range(len(w))]
+            if not grams or not model:
+                out.append(("und", 0.0))
+                continue
+            means = {lang: sum(own.get(g, own[""]) for g in grams) / len(grams) for lang, own in model.items()}
+            best = max(sorted(means), key=means.__getitem__)
+            weight = min(len(grams), 20)
+            out.append((best, 1 / sum(math.exp(weight * (m - means[best])) for m in means.values())))
+        return out
+
+    return ModelDetector(lambda: predict)
+
+
 class KnownLanguage:
     """Takes the language from another column, with full score; for corpora that say it."""
 

@@ -61,6 +61,20 @@ def evaluate(scores: DataFrame, label: str = "quality") -> DataFrame:
     return got.withColumns({"accuracy": F.lit(accuracy), "roc_auc": F.lit(auc)})
 
 
+def report(scores: DataFrame, label: str = "quality") -> DataFrame:
+    """Precision, recall, F1 and support of each class."""
+    rows = scores.select(F.col(label).cast("int").alias("label"), (F.col("score") >= 0.5).cast("int").alias("prediction"))
+    counts = rows.groupBy("label", "prediction").count()
+    both = counts.select(F.explode(F.array(F.struct(F.col("label").alias("class"), F.lit(True).alias("true")), F.struct(F.col("prediction").alias("class"), F.lit(False).alias("true")))).alias("c"), "label", "prediction", "count").select("c.*", "label", "prediction", "count")
+    hit = F.sum(F.when(F.col("true") & (F.col("label") == F.col("prediction")), F.col("count")).otherwise(0))
+    support, called = F.sum(F.when(F.col("true"), F.col("count")).otherwise(0)), F.sum(F.when(~F.col("true"), F.col("count")).otherwise(0))
+    got = both.groupBy("class").agg(hit.alias("hit"), support.alias("support"), called.alias("called"))
+    part = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
+    got = got.select("class", part("hit", "called").alias("precision"), part("hit", "support").alias("recall"), "support")
+    f1 = F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
+    return got.select("class", "precision", "recall", f1.alias("f1"), "support")
+
+
 def importances(model: PipelineModel, names: list[str], top: int = TOP) -> list[tuple[str, float]]:
     """The features with the largest importance."""
     last = model.stages[-1]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.functions import predicates as P
-from tablesift.functions.language import KnownLanguage
+from tablesift.functions.language import KnownLanguage, trigram_detector, trigram_model
 from tablesift.operators import dedup, quality, sampling, summarize
 from tablesift.operators import filters as O
 from tablesift.operators.profile import column_profile, table_profile
@@ -405,6 +405,15 @@ def english_filter(spark, sf_dir):
     return docs.filter(P.is_english(F.col("found"), 0.5)).select("doc_id", "lang")
 
 
+@query()
+def detected_languages(spark, sf_dir):
+    """Languages of all documents by a trigram model that is fitted on known ones, counted against what is known."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    detector = trigram_detector(trigram_model(docs, "text", "lang", "doc_id"))
+    found = docs.select("doc_id", F.col("lang").alias("known"), detector(F.col("text")).alias("found"))
+    return found.groupBy("known", F.coalesce("found.lang", F.lit("und")).alias("lang")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("found.score"), 6).alias("score"), F.sum(P.is_english(F.col("found")).cast("long")).alias("english"))
+
+
 @query("SELECT o_orderkey, CASE WHEN o_totalprice IS NOT NULL THEN greatest(least(o_totalprice * 1e10, 1e15), -1e15) END AS clipped FROM orders")
 def clipped_values(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", P.clipped(F.col("o_totalprice") * 1e10).alias("clipped"))

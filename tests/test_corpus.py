@@ -185,6 +185,46 @@ def test_command_line(spark, shard_dir, tmp_path, capsys):
     assert spark.read.parquet(f"{tmp_path}/o-manifest").count() == 2
 
 
+def test_features_and_models_by_command(spark, shard_dir, tmp_path):
+    cli.main(["features", shard_dir, str(tmp_path / "f")])
+    features = spark.read.parquet(str(tmp_path / "f"))
+    assert len(features.columns) == 382 and {r.table_id for r in features.collect()} == {"h1", "h3", "h4", "h5", "h6"}
+    assert features.filter("table_id = 'h1'").first().table_n == 80
+    rows = spark.range(200).select(F.col("id").cast("string").alias("table_id"), (F.col("id") % 10).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    rows.filter("a <= 4").write.parquet(str(tmp_path / "low"))
+    rows.filter("a > 4").write.parquet(str(tmp_path / "high"))
+    cli.main(["train", str(tmp_path / "m"), "--low", str(tmp_path / "low"), "--high", str(tmp_path / "high"), "--names", "a", "b"])
+    run = json.loads((tmp_path / "m" / "run.json").read_text())
+    assert run["accuracy"] > 0.95 and run["importances"][0][0] == "a"
+    report = spark.read.option("header", "true").csv(str(tmp_path / "m" / "report")).collect()
+    assert {r["class"] for r in report} == {"0", "1"} and all(float(r.f1) > 0.9 for r in report)
+    cli.main(["quantiles", str(tmp_path / "high"), run["model"], str(tmp_path / "q"), "--names", "a", "b"])
+    assert spark.read.option("header", "true").csv(str(tmp_path / "q")).count() == 9
+
+
+def test_quantiles_are_exact(spark):
+    import numpy as np
+
+    values = np.round(np.random.default_rng(4).beta(0.3, 2, 3000), 3)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "s double")
+    for bins in (3, 1000):
+        for r in summarize.score_quantiles(df, "s", bins=bins).collect():
+            assert abs(r["value"] - np.quantile(values, r["quantile"])) < 1e-9
+
+
+def test_decisions_are_those_of_the_filters(spark):
+    from tablesift.plans import chains
+
+    chain = chains.table_chain(config("v6", min_rows=3, min_cols=2))
+    rows = [("ab", "x", 1), ("cd", "y", 2), ("ef", "z", 3)]
+    tables = [rows, rows[:2], [("a#", "x", 1), *rows[1:]], [("a@b.org", "x", 1), *rows], [("same", "x", 1)] * 3]
+    for own in tables:
+        df = spark.createDataFrame(own, "name string, city string, year int")
+        assert chain.decided(df).first().accepted == chain.accepts(df)
+    odd = spark.createDataFrame([("a", "b", 1)] * 4, "`1` string, `2` string, year int")
+    assert chain.decided(odd).first().accepted is False is chain.accepts(odd)
+
+
 def test_entry_module(spark):
     import __spark_entry__ as entry
 

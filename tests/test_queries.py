@@ -22,3 +22,9 @@ def test_set_cover_covers_once(spark, sf_dir):
 def test_quality_model_has_a_row(spark, sf_dir):
     got = QUERIES["quality_model"](spark, sf_dir).toPandas()
     assert len(got) == 1 and 0 <= got["accuracy"][0] <= 1
+
+
+def test_languages_are_detected(spark, sf_dir):
+    got = QUERIES["detected_languages"](spark, sf_dir).toPandas()
+    assert got.loc[got.known == got.lang, "n"].sum() > 0.9 * got["n"].sum()
+    assert got.loc[got.lang == "en", "english"].sum() > 0.9 * got.loc[got.lang == "en", "n"].sum() and not got.loc[got.lang != "en", "english"].sum()
