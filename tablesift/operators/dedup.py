@@ -60,15 +60,17 @@ def file_numbers(paths: DataFrame, path: str = "path") -> DataFrame:
 def covering_set(pairs: DataFrame) -> DataFrame:
     """(file, string) for every string once, from few files: again and again the file that covers most of what is left.
 
-    Greedy, so it goes file by file; what a round holds is an aggregation and an
-    anti-join.  Of files that cover as many, the first by name is taken.
+    The same files as one by one, but many in a round: every file that covers more than any other file
+    it shares a string with (of equal ones, the first by name), for no other choice changes what is left of it.
+    A round is a few aggregations and joins on thin rows.
     """
-    left = pairs.select("file", "string").distinct()
+    left = pairs.select("file", "string").distinct().checkpoint()
     chosen = left.limit(0)
-    while True:
-        best = left.groupBy("file").count().orderBy(F.desc("count"), "file").first()
-        if best is None:
-            return chosen
-        taken = left.filter(F.col("file") == best.file).checkpoint()
+    while left.limit(1).count():
+        ranked = left.join(left.groupBy("file").agg((-F.count(F.lit(1))).alias("rank")), "file")
+        best = ranked.groupBy("string").agg(F.min(F.struct("rank", "file")).alias("best"))
+        ahead = ranked.join(best, "string").groupBy("file").agg(F.min(F.col("file") == F.col("best.file")).alias("ahead")).filter("ahead").select("file")
+        taken = left.join(ahead, "file", "left_semi").checkpoint()
         chosen = chosen.unionByName(taken)
         left = left.join(taken.select("string"), "string", "left_anti").select("file", "string").checkpoint()
+    return chosen

@@ -90,6 +90,22 @@ def test_set_cover(spark, pairs, files):
     assert len({r.file for r in got}) == files and sorted(r.string for r in got) == sorted({s for _, s in pairs})
 
 
+def test_set_cover_is_the_greedy_one(spark):
+    import random
+
+    rng = random.Random(3)
+    pairs = {(f"f{rng.randrange(30):02}", f"s{rng.randrange(60)}") for _ in range(220)}
+    left, want = set(pairs), {}
+    while left:
+        count = {f: sum(g == f for g, _ in left) for f, _ in left}
+        best = min(count, key=lambda f: (-count[f], f))
+        want |= {s: best for f, s in left if f == best}
+        left = {(f, s) for f, s in left if s not in want}
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    got = dedup.covering_set(spark.createDataFrame(sorted(pairs), "file string, string string")).collect()
+    assert {r.string: r.file for r in got} == want and len(got) == len(want)
+
+
 def test_unknown_extension(spark):
     with pytest.raises(ValueError):
         shards.read_file(spark, "x.json")
