@@ -9,9 +9,11 @@ form.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,9 +162,9 @@ def table_summary(df: DataFrame) -> DataFrame:
     return got.select(*[values[k].cast("double").alias(k) for k in TABLE])
 
 
-def over_columns(stats: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
-    """Aggregate each statistic over the columns: rows of ``stats`` are columns of tables, ``by`` names the table."""
-    wide = [f(F.when(~F.isnan(named(k)), named(k))).alias(f"{k}_{a}") for k in keys for a, f in AGGREGATES.items()]
+def over_columns(stats: DataFrame, keys: list[str], by: list[str] | None = None, aggregates: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """Aggregate each statistic over the columns, by ``AGGREGATES`` or others: rows of ``stats`` are columns of tables, ``by`` names the table."""
+    wide = [f(F.when(~F.isnan(named(k)), named(k))).alias(f"{k}_{a}") for k in keys for a, f in (aggregates or AGGREGATES).items()]
     return stats.groupBy(*(by or [])).agg(*wide)
 
 
@@ -239,11 +241,31 @@ def features_of_tables(cells: DataFrame, facts: DataFrame | None = None) -> Data
 
 
 def pairwise_pearson(df: DataFrame, names: list[str]) -> DataFrame:
-    """Pearson's r of every pair of numeric columns, in one aggregation; rows with a null in either don't count."""
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    clean = normalised(df)
-    got = clean.agg(*[F.corr(named(a).cast("double"), named(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    return got.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*")
+    """Pearson's r of every pair of numeric columns; rows with a null in either don't count.
+
+    Each task multiplies batches of rows, moved by the columns' means, as matrices; what is
+    shuffled is a few sums for each pair and task, however many rows there are.
+    """
+    plain = normalised(df).select(*[named(a).cast("double").alias(f"c{i}") for i, a in enumerate(names)])
+    means = plain.agg(*[F.avg(c).alias(c) for c in plain.columns]).first() or []
+    centre = np.array([m or 0.0 for m in means])
+    one, two = np.triu_indices(len(names), 1)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(names), len(names)))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1) - centre
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            total += [there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x]
+        yield pa.RecordBatch.from_arrays([pa.array(one, pa.int32()), pa.array(two, pa.int32()), *[pa.array(t[one, two]) for t in total]], ["a", "b", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = plain.mapInArrow(sums, "a int, b int, n double, x double, y double, xx double, yy double, xy double").groupBy("a", "b")
+    got = parts.agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    n = F.col("n")
+    spread = F.sqrt((n * F.col("xx") - F.col("x") ** 2) * (n * F.col("yy") - F.col("y") ** 2))
+    name = F.array(*[F.lit(a) for a in names])
+    return got.select(F.get(name, F.col("a")).alias("a"), F.get(name, F.col("b")).alias("b"), F.when(spread > 0, (n * F.col("xy") - F.col("x") * F.col("y")) / spread).alias("r"))
 
 
 def mutual_information(df: DataFrame, a: str, b: str, bins: int = 32) -> DataFrame:

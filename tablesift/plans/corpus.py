@@ -20,6 +20,7 @@ from tablesift.operators.filters import bad_headers
 from tablesift.operators.sampling import chunk_of
 from tablesift.plans.config import Config
 from tablesift.sources import arrow_tables, shards, sinks
+from tablesift.streaming.runner import shared_folder
 
 
 def dedup(spark: SparkSession, directory: str, out: str, max_shards: int | None = None) -> DataFrame:
@@ -92,8 +93,10 @@ def kept_rows(cells: DataFrame, config: Config) -> DataFrame:
         bad |= strings & P.contains_code(value)
     if config.filter_pii_rows:
         bad |= strings & P.contains_pii(value)
-    whole = F.md5(F.to_json(F.array_sort(F.collect_list(F.struct("col_idx", "value")))))
-    rows = cells.groupBy("table_id", "row_idx").agg(F.bool_or(bad).alias("bad"), whole.alias("digest")).filter(~F.col("bad"))
+    held = [F.bool_or(bad).alias("bad")]
+    if config.drop_duplicate_rows or config.max_output_rows is not None:
+        held.append(F.md5(F.to_json(F.array_sort(F.collect_list(F.struct("col_idx", "value"))))).alias("digest"))
+    rows = cells.groupBy("table_id", "row_idx").agg(*held).filter(~F.col("bad"))
     if config.drop_duplicate_rows:
         rows = rows.groupBy("table_id", "digest").agg(F.min("row_idx").alias("row_idx"))
     if config.max_output_rows is not None:
@@ -102,6 +105,11 @@ def kept_rows(cells: DataFrame, config: Config) -> DataFrame:
     return rows.select("table_id", "row_idx")
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Column] | None = None, quality: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Surviving tables of a corpus (content_hash, arrow_bytes), trimmed: content_hash, nrows, ncols, arrow_bytes.
 
@@ -109,14 +117,17 @@ def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Colu
     """
     if config.table_quality_threshold is not None and config.table_quality_position == "pre" and quality is None:
         raise ValueError("this configuration asks a quality model before filtering: give one")
-    tables = _accepted_by_names(arrow_tables.with_facts(corpus), config, detector or FrequentWords()).drop("error", "names", "dtypes", "nrows", "ncols")
+    # Decisions are thin and settled, so that blobs are decoded once for their facts, once for what their
+    # columns hold, once for their rows, and once to be trimmed.
+    named = _settled(_accepted_by_names(arrow_tables.with_facts(corpus), config, detector or FrequentWords()).select("content_hash"))
+    tables = corpus.join(named, "content_hash", "left_semi")
     cells = arrow_tables.cells(tables)
-    columns = column_facts(cells, config)
+    columns = _settled(column_facts(cells, config))
     good = _accepted_by_columns(columns, config)
     scored = lambda: quality(cells).filter(F.col("score") > config.table_quality_threshold).select("table_id")
     if config.table_quality_threshold is not None and config.table_quality_position == "pre":
         good = good.join(scored(), "table_id", "left_semi")
-    own_columns = kept_columns(columns.join(good, "table_id", "left_semi"), config)
+    own_columns = _settled(kept_columns(columns.join(good, "table_id", "left_semi"), config))
     inner = cells.join(own_columns, ["table_id", "col_idx"], "left_semi")
     own_rows = kept_rows(inner, config).groupBy("table_id").agg(F.collect_list("row_idx").alias("kept_rows"))
     if config.min_rows is not None:

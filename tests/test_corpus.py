@@ -151,6 +151,22 @@ def test_summaries(spark):
     assert summarize.public_name("num_std_quantile0_1") == "num_std_quantile0.1"
 
 
+def test_pearson_with_nulls(spark):
+    import numpy as np
+    import pandas as pd
+
+    x = np.random.default_rng(1).normal(1e6, 1, (400, 4))
+    x[:, 1] += x[:, 0]
+    x[np.random.default_rng(2).random(x.shape) < 0.1] = np.nan
+    want = pd.DataFrame(x, columns=list("abcd")).corr()
+    df = spark.createDataFrame([tuple(None if v != v else float(v) for v in r) + (1.0,) for r in x], "a double, b double, c double, d double, e double").repartition(5)
+    got = {(r.a, r.b): r.r for r in summarize.pairwise_pearson(df, list("abcde")).collect()}
+    assert len(got) == 10 and all(r is None if "e" in k else abs(r - want.loc[k]) < 1e-9 for k, r in got.items())
+    assert summarize.pairwise_pearson(df.filter("false"), ["a", "b"]).count() <= 1
+    twice = summarize.over_columns(spark.createDataFrame([("t", 1.0), ("t", 3.0)], "table_id string, s double"), ["s"], ["table_id"], {"sum": F.sum}).first()
+    assert twice.s_sum == 4.0
+
+
 def test_monotonic_dates(spark):
     df = spark.range(50).select(F.col("id"), F.timestamp_seconds(F.col("id") * 60).alias("t"), F.timestamp_seconds(F.col("id") % 7).alias("u"))
     assert summarize.column_summary(df, "t", F.col("id")).first().is_monotonic == 1.0
