@@ -168,7 +168,8 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     windows = rewritten(_exploded(found, windows, "d"))
     hashed = windows.filter("h IS NOT NULL")
     first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
-    again = hashed.join(small(settle(first)), "h").filter((F.col("d") != F.col("at.d")) | (F.col("line") > F.col("at.line")))
+    first = settle(first)
+    again = among(hashed, first, "h").join(small(first), "h").filter((F.col("d") != F.col("at.d")) | (F.col("line") > F.col("at.line")))
     one = ["d", F.col("p").alias("first"), F.col("p").alias("last")]
     return whole.union(windows.filter("h IS NULL").select(*one)).union(again.select(*one))
 
