@@ -42,13 +42,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def rewritten(df: DataFrame) -> DataFrame:
-    """Write whole rows as Parquet in the shared folder and read them again; for many rows, as it is smaller than a checkpoint."""
+def rewritten(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Write whole rows as Parquet in the shared folder and read them again; for many rows, as it is smaller than a checkpoint.
+
+    The path is added to ``paths``, for ``discard``.
+    """
     path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that ``rewritten`` made, once what was made of them is settled."""
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def small(df: DataFrame, parts: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``limit`` rows, else as it is.
 

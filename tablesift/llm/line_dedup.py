@@ -43,7 +43,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import among, rewritten, settle, small, table
+from tablesift.llm.common import among, discard, rewritten, settle, small, table
 
 #: Words of a run that is hashed as fingerprint; a passage shares its windows' runs.
 GRAM = 16
@@ -133,19 +133,20 @@ def fingerprints(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM)
     return words.select("d", _with("codes", lambda c: F.transform("ranges", lambda r: hashed(c, r))).alias("ranges"))
 
 
-def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
+def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, paths: list[str] | None = None) -> DataFrame:
     """Windows of ``min_words`` words that an earlier place has: d, first, last, ranges of the numbers of their first words.
 
-    ``units`` has d, the number of a document in their order, and __text.
+    ``units`` has d, the number of a document in their order, and __text.  The tables that the
+    result is read from are added to ``paths``.
     """
-    ranges = rewritten(_exploded(fingerprints(units, min_words, gram), F.col("ranges"), "d"))
+    ranges = rewritten(_exploded(fingerprints(units, min_words, gram), F.col("ranges"), "d"), paths)
     shared = ranges.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), F.min("d").alias("at")).filter("n > 1")
     shared = settle(shared.select("h", (F.col("least") < F.col("most")).alias("mixed"), "at"))
-    met = rewritten(among(ranges, shared, "h").join(small(shared), "h"))
+    met = rewritten(among(ranges, shared, "h").join(small(shared), "h"), paths)
     # Ranges of one fingerprint that differ: first documents by all their words.
     mixed = met.filter("mixed").drop("at")
     kinds = settle(mixed.groupBy("h", "whole").agg(F.min("d").alias("at")))
-    mixed = rewritten(mixed.join(small(kinds), ["h", "whole"]).select("h", "d", "first", "last", "at"))
+    mixed = rewritten(mixed.join(small(kinds), ["h", "whole"]).select("h", "d", "first", "last", "at"), paths)
     equal = met.filter("NOT mixed").select("h", "d", "first", "last", "at")
     whole = equal.union(mixed).filter("d <> at").select("d", "first", "last")
 
@@ -153,7 +154,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     own = equal.withColumn("hashed", F.lit(False)).union(mixed.withColumn("hashed", F.lit(True))).filter("d = at").drop("at")
     back = settle(own.groupBy("h", "d").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("back")).filter("n > 1").drop("n"))
     rest = own.join(small(back), ["h", "d"], "left").filter("hashed OR first > back").drop("h")
-    rest = rewritten(rest.groupBy("d").agg(F.collect_list(F.struct("first", "last", "back", "hashed")).alias("rest")))
+    rest = rewritten(rest.groupBy("d").agg(F.collect_list(F.struct("first", "last", "back", "hashed")).alias("rest")), paths)
     # Where the ranges are too many to broadcast, the documents may not be, so that only their texts are shuffled.
     few = small(rest.select("d"))
     found = units.join(few, "d", "left_semi").join(small(rest, "rest"), "d")
@@ -165,7 +166,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     inner = lambda r: F.filter(F.sequence(r["first"], r["last"]), lambda p: r["hashed"] | (F.get("line", r["back"] + p - r["first"]) < F.get("line", p)))
     window = lambda c, p, r: F.struct(p.alias("p"), F.when(r["hashed"], F.coalesce(F.get("line", p), F.lit(0))).alias("line"), F.when(r["hashed"], F.xxhash64(_run(c, p, min_words))).alias("h"))
     windows = _with("codes", lambda c: F.flatten(F.transform("rest", lambda r: F.transform(inner(r), lambda p: window(c, p, r)))))
-    windows = rewritten(_exploded(found, windows, "d"))
+    windows = rewritten(_exploded(found, windows, "d"), paths)
     hashed = windows.filter("h IS NOT NULL")
     first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
     first = settle(first)
@@ -202,8 +203,10 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     units = docs.filter(F.length("__text") >= 2 * min_words - 1).select("d", "__text")
     if len(docs.columns) > len(plain.columns) and units.groupBy("d").count().filter("count > 1").limit(1).count():
         units = units.dropDuplicates(["d"])
-    bounds = _merged(repeated_windows(units, min_words, gram), min_words)
-    marked = docs.join(small(settle(bounds), "bounds"), "d", "left").drop("d", "__id")
+    paths: list[str] = []
+    bounds = settle(_merged(repeated_windows(units, min_words, gram, paths), min_words))
+    discard(df.sparkSession, paths)
+    marked = docs.join(small(bounds, "bounds"), "d", "left").drop("d", "__id")
     # Words with the white space behind them; what stands in front of the first word is one of them, too.
     marked = marked.withColumn("tokens", F.when(F.col("bounds").isNotNull(), F.split("__text", r"(?<=\s)(?=\S)")))
     ahead = F.when(_trimmed(F.get("tokens", F.lit(0))) == "", 1).otherwise(0)
