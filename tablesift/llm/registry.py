@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import bpe, exact_dedup, jaccard, licenses, line_dedup, neighbours, packing, secrets, shard, toxicity
+from tablesift.llm import bpe, exact_dedup, hard_negatives, jaccard, licenses, line_dedup, neighbours, packing, periodic, quality_votes, secrets, shard, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -19,10 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": licenses.op8_licenses,
     "op9_nearest": neighbours.op9_nearest,
     "op10_secrets": secrets.op10_secrets,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_quality": quality_votes.op13_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op6_ngram_jaccard": jaccard.OP6_SQL,
     "op9_nearest": neighbours.OP9_SQL,
+    "op11_periodic_runs": periodic.OP11_SQL,
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
 }
