@@ -8,7 +8,7 @@ nothing is shuffled.
 
 Words recur.  A text is cut in front of every white space that follows
 something else, which is always a boundary between two matches of the pattern;
-each cut piece is encoded once and then taken from a cache of bounded size.  With
+each cut piece is encoded once and then taken from a cache that is bounded in bytes.  With
 another pattern the pieces are that pattern's matches.
 
 Defined results: null and empty texts have no tokens; a text of any length is
@@ -37,12 +37,15 @@ from tokenizers.models import BPE
 
 from tablesift.llm.common import place_of, plainly_named, slices, table, text_of
 
-#: Pieces that a worker keeps in each of two generations of its cache.
-CACHE_PIECES = 250_000
+#: Bytes that a worker keeps in each of two generations of its cache, and what a piece takes besides its text and ids.
+CACHE_BYTES = 48 << 20
+PIECE_BYTES = 250
+#: Characters of the longest piece that is kept; longer ones seldom come again.
+LONGEST_KEPT = 64
 
 # Characters with the White_Space property, as the pattern's \s has them.
-_SPACE = "\t-\r \x85\xa0  -     　"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+SPACE = "\t-\r \x85\xa0  -     　"
+_CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 
 def byte_characters() -> dict[int, str]:
@@ -66,7 +69,7 @@ def ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """Ids of a text and bytes of ids, for one vocabulary."""
 
-    def __init__(self, path: str, pattern: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, pattern: str, cache_bytes: int = CACHE_BYTES):
         vocabulary = ranks(path)
         names = byte_characters()
         self._names = str.maketrans({chr(b): c for b, c in names.items()})
@@ -85,7 +88,7 @@ class Codec:
         self._cut = _CHUNK if pattern == public_tokenizers.PATTERN else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        self._limit = cache_pieces
+        self._limit, self._held = cache_bytes, 0
         # The reversed byte table: all tokens' bytes in a row, and where each starts.
         count = max(vocabulary.values()) + 1
         by_rank = [b""] * count
@@ -99,9 +102,11 @@ class Codec:
         found = self._old.get(chunk)
         if found is None:
             found = array.array("I", [token.id for piece in ([chunk] if self._cut is None else self._pieces(chunk)) for token in self._model.tokenize(piece.encode().decode("latin-1").translate(self._names))]).tobytes()
-        if len(self._young) >= self._limit:
-            self._old, self._young = self._young, {}
-        self._young[chunk] = found
+        if len(chunk) <= LONGEST_KEPT:
+            if self._held >= self._limit:
+                self._old, self._young, self._held = self._young, {}, 0
+            self._young[chunk] = found
+            self._held += PIECE_BYTES + 4 * len(chunk) + len(found)
         return found
 
     def encode(self, text: str) -> bytes:

@@ -19,7 +19,8 @@ The result is exact.
 Defined results: vectors that are null, empty, zero or have null or non-finite
 components take no part, nor do those of another length than most; of rows
 with the same vec_id that are queries, one stands for all, and none of them is
-its own candidate; equal scores are ranked by vec_id; an empty table gives no
+its own candidate; equal scores are ranked by vec_id; scores too large for a double are
+infinite, or no number where such parts cancel, which counts as largest; an empty table gives no
 rows.  Other columns are not read.
 """
 
@@ -93,26 +94,41 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def best_of_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, tile: int = TILE) -> list[list[tuple[float, int]]]:
-    """For each query a heap of (score, -vec_id) of its k nearest in a block."""
-    heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]
-    qq, qs, qlen, _, qrest = quantised(queries)
+def scaled(x: np.ndarray) -> tuple[np.ndarray, int]:
+    """``x`` by a power of two with components of 1 at most, so that lengths are numbers, however large the components; and its exponent."""
+    exponent = int(np.frexp(np.abs(x).max(initial=0))[1])
+    return np.ldexp(x, -exponent), exponent
+
+
+def best_of_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, tile: int = TILE) -> list[list[tuple[bool, float, int]]]:
+    """For each query a heap of its k nearest in a block, as (is no number, score, -vec_id); what is no number counts as largest."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        return _best_of_blocks(query_ids, queries, ids, vectors, k, tile)
+
+
+def _best_of_blocks(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, tile: int) -> list[list[tuple[bool, float, int]]]:
+    heaps: list[list[tuple[bool, float, int]]] = [[] for _ in query_ids]
+    small, power = scaled(queries)
+    qq, qs, qlen, _, qrest = quantised(small)
     # Products of int8 vectors are sums below 2**24, exact in single precision, up to this length.
     kind = np.float32 if queries.shape[1] <= 1000 else np.float64
     qq = qq.astype(kind)
     for start in range(0, len(ids), tile):
         own, x = ids[start : start + tile], vectors[start : start + tile]
-        cq, cs, clen, cback, crest = quantised(x)
+        small, own_power = scaled(x)
+        cq, cs, clen, cback, crest = quantised(small)
         near = (qq @ cq.astype(kind).T).astype(np.float64) * qs[:, None] * cs
         off = qrest[:, None] * cback + qlen[:, None] * crest + 1e-9 * qlen[:, None] * clen
+        # Bounds of the scores as they are; those that are too large for a double, or no number, decide nothing.
+        upper, lower = np.ldexp(near + off, power + own_power), np.ldexp(near - off, power + own_power)
         other = query_ids[:, None] != own
-        lower = np.where(other, near - off, -np.inf)
-        least = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
+        lower = np.where(other & np.isfinite(lower) & np.isfinite(upper), lower, -np.inf)
+        least = np.array([(np.inf if h[0][0] else h[0][1]) if len(h) == k else -np.inf for h in heaps])
         if lower.shape[1] >= k:
             least = np.maximum(least, np.partition(lower, -k, axis=1)[:, -k])
-        i, j = np.nonzero(other & (near + off >= least[:, None]))
+        i, j = np.nonzero(other & (~np.isfinite(upper) | (upper >= least[:, None])))
         for q, score, vec_id in zip(i.tolist(), exact(queries[i], x[j]).tolist(), own[j].tolist()):
-            item = (score, -vec_id)
+            item = (score != score, 0.0 if score != score else score, -vec_id)
             if len(heaps[q]) < k:
                 heapq.heappush(heaps[q], item)
             elif item > heaps[q][0]:
@@ -140,7 +156,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, vector: str
                 qi, q, ci, c = (batch.column(n)[row].as_buffer() for n in ("query_ids", "queries", "ids", "vectors"))
                 qi, ci = np.frombuffer(qi, "<i8"), np.frombuffer(ci, "<i8")
                 heaps = best_of_blocks(qi, np.frombuffer(q, "<f8").reshape(len(qi), -1), ci, np.frombuffer(c, "<f8").reshape(len(ci), -1), k)
-                flat = [(int(i), -neg, score) for i, heap in zip(qi, heaps) for score, neg in heap]
+                flat = [(int(i), -neg, np.nan if odd else score) for i, heap in zip(qi, heaps) for odd, score, neg in heap]
                 if flat:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*flat), (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
 

@@ -17,7 +17,8 @@ that runs again gives the same ones.
 Ids are those that the tokenizers library finds with the file ``byte_bpe_50k.json``
 and its own settings, so the name of an added token in a text, ``<|endoftext|>``,
 is that token.  They are found with tiktoken from the vocabulary in that file, which
-is several times as fast, and tests hold both against each other.
+is several times as fast, and tests hold both against each other.  White space too long for
+its pattern is given to the tokenizers library itself.
 
 Defined results: a null or empty text is the end token alone; a text of any
 length is packed whole; rows with equal doc_id are packed one by one; an empty
@@ -42,7 +43,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.bpe import byte_characters
+from tokenizers import Tokenizer
+
+from tablesift.llm.bpe import SPACE, byte_characters
 from tablesift.llm.common import settle, slices, table, text_of
 
 CAPACITY = 2048
@@ -51,6 +54,9 @@ END_ID = 1
 #: Partitions whose leftovers are merged together.
 MERGE = 64
 
+#: White space that is long, with the word behind it.
+_LONG_WHITE = re.compile(f"[{SPACE}]{{1024,}}[^{SPACE}]*")
+
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, part int, ids binary"
 
 
@@ -70,6 +76,7 @@ class Encoder:
         of = {c: b for b, c in byte_characters().items()}
         ranks = {bytes(of[c] for c in token): rank for token, rank in spec["model"]["vocab"].items() if token not in self._added}
         self._encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._path = path
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -78,7 +85,22 @@ class Encoder:
         return b"".join(self._added[part] if i % 2 else self._plain(part) for i, part in enumerate(self._names.split(text)))
 
     def _plain(self, text: str) -> bytes:
-        return self._encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4", copy=False).tobytes()
+        try:
+            return self._encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype("<u4", copy=False).tobytes()
+        except ValueError:  # its pattern can't step back over some hundred thousand blanks
+            cuts = [0, *(place for found in _LONG_WHITE.finditer(text) for place in found.span()), len(text)]
+            if len(cuts) == 2:
+                raise
+            # Where a run of white space begins, or ends with its word, two matches of the pattern meet.
+            return b"".join((self._by_library if i % 2 else self._plain)(text[a:b]) for i, (a, b) in enumerate(zip(cuts, cuts[1:])))
+
+    def _by_library(self, text: str) -> bytes:
+        return np.array(_library(self._path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@lru_cache(2)
+def _library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
 
 
 @lru_cache(2)
