@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm import jaccard, line_dedup, packing, secrets, toxicity
-from tablesift.llm.common import rewritten, table
+from tablesift.llm.common import discard, rewritten, table
 
 
 def _with_text(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -19,15 +19,24 @@ def _with_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")).select(*named) if "n_chars" in columns else df.select(*named)
 
 
+def _fresh(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.5 or more go."""
     machine = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return toxicity.scored(docs, machine, score="__score").filter("__score < 0.5").drop("__score")
+    score = _fresh(docs, "score")
+    return toxicity.scored(docs, machine, score=score).filter(F.col(f"`{score}`") < 0.5).drop(score)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more go where they are repeated; what is left of a text stays."""
-    return _with_text(line_dedup.without_runs(docs, removed="__removed"), docs.columns)
+    return _with_text(line_dedup.without_runs(docs, removed=_fresh(docs, "removed")), docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +46,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by their kind; documents stay."""
-    found = secrets.scan(docs, base="__base", spans="__spans")
-    return _with_text(found.withColumn("text", secrets.redacted(F.col("text"), F.col("__spans"))), docs.columns)
+    base, spans = _fresh(docs, "base"), _fresh(docs, "spans")
+    found = secrets.scan(docs, base=base, spans=spans)
+    return _with_text(found.withColumn("text", secrets.redacted(F.col("text"), F.col(f"`{spans}`"))), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +70,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before: list[str] = []
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = rewritten(docs)
+            written: list[str] = []
+            docs = rewritten(docs, written)
+            # Nothing reads what the stage before wrote any more.
+            discard(spark, before)
+            before = written
     return docs
