@@ -1,7 +1,10 @@
 """The pipeline: each stage against a plain version of what it should do."""
 
+import glob
+
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_operators import PASSAGE, SCHEMA, brute_components, filler
 
 from tablesift.llm import secrets
@@ -59,3 +62,25 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark, folder):
+    """A stage's own columns don't take the place of the input's."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name in ("score", "__score", "removed", "base", "spans", "a.b"):
+        docs = docs.withColumn(name, F.lit("kept"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert set(docs.select("score", "__score", "removed", "base", "spans", "`a.b`").distinct().first()) == {"kept"}
+        docs = docs.select("*")
+
+
+def test_run_keeps_no_copies(spark, folder):
+    """Of the tables between stages only the last is left, as the result is read from it."""
+    from tablesift.llm.common import _shared_folder
+
+    place = _shared_folder(spark).removeprefix("file:")
+    before = set(glob.glob(f"{place}/*.parquet"))
+    corpus_pipeline.run(spark, folder).collect()
+    left = set(glob.glob(f"{place}/*.parquet")) - before
+    assert sum("text" in spark.read.parquet(p).columns and "n_chars" in spark.read.parquet(p).columns for p in left) == 1
