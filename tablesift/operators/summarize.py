@@ -173,7 +173,9 @@ def cells_of(df: DataFrame, order: Column | None = None, table_id: str = "") ->
     df = normalised(df)
     made = [F.struct(F.lit(i).alias("col_idx"), F.lit(f.name).alias("col_name"), F.lit(kind(f.dataType)).alias("kind"), as_text(named(f.name), f.dataType).alias("value")) for i, f in enumerate(df.schema)]
     row = (order if order is not None else F.monotonically_increasing_id()).cast("long")
-    return df.select(F.lit(table_id).alias("table_id"), row.alias("row_idx"), F.explode(F.array(*made)).alias("cell")).select("table_id", "row_idx", "cell.*")
+    # A row's number is made before its cells are.
+    rows = df.select(row.alias("row_idx"), F.array(*made).alias("cells"))
+    return rows.select(F.lit(table_id).alias("table_id"), "row_idx", F.explode("cells").alias("cell")).select("table_id", "row_idx", "cell.*")
 
 
 def column_statistics(cells: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesift.functions import predicates as P
 from tablesift.functions.language import KnownLanguage, trigram_detector, trigram_model
-from tablesift.operators import dedup, quality, sampling, summarize
+from tablesift.operators import dedup, information, quality, sampling, summarize
 from tablesift.operators import filters as O
 from tablesift.operators.profile import column_profile, table_profile
 from tablesift.plans import chains, corpus
@@ -371,6 +371,27 @@ def mutual_information(spark, sf_dir):
     return _rounded(summarize.mutual_information(read(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice"))
 
 
+_BOTH = " UNION ALL ".join(f"SELECT t, '{a}' AS a, '{b}' AS b, d, {a}::DOUBLE AS x, {b}::DOUBLE AS y FROM s" for a, b in _PAIRS)
+
+
+@query(
+    f"""WITH s AS (SELECT * FROM (SELECT l_returnflag AS t, md5(concat(l_returnflag, ':', l_orderkey, '/', l_linenumber, '/', l_partkey, '/', l_suppkey, ':0')) AS d, * FROM lineitem) QUALIFY row_number() OVER (PARTITION BY t ORDER BY d) <= 512),
+    p AS (SELECT *, row_number() OVER (PARTITION BY t, a, b ORDER BY d) AS i, count(*) OVER (PARTITION BY t, a, b) AS n, stddev_pop(x) OVER (PARTITION BY t, a, b) AS sx, stddev_pop(y) OVER (PARTITION BY t, a, b) AS sy
+      FROM ({_BOTH}) WHERE x IS NOT NULL AND y IS NOT NULL),
+    r AS (SELECT u.t, u.a, u.b, u.n, u.i, v.i AS j, floor(abs(u.x - v.x) / CASE WHEN u.sx = 0 THEN 1 ELSE u.sx END * 1e9 + 0.5) AS dx, floor(abs(u.y - v.y) / CASE WHEN u.sy = 0 THEN 1 ELSE u.sy END * 1e9 + 0.5) AS dy
+      FROM p u JOIN p v ON u.t = v.t AND u.a = v.a AND u.b = v.b AND u.i <> v.i),
+    k AS (SELECT t, a, b, i, min(greatest(dx, dy), 3)[-1] AS radius FROM r GROUP BY t, a, b, i),
+    c AS (SELECT t, a, b, i, any_value(n) AS n, count(*) FILTER (dx < radius) AS nx, count(*) FILTER (dy < radius) AS ny FROM r JOIN k USING (t, a, b, i) GROUP BY t, a, b, i),
+    h AS (SELECT m, coalesce(sum(1.0::DOUBLE / nullif(m, 0)) OVER (ORDER BY m), 0) AS h FROM (SELECT unnest(range(513)) AS m))
+    SELECT t AS table_id, a, b, any_value(n) AS n, round(greatest(0, any_value((SELECT h FROM h WHERE m = n - 1)) + (SELECT h FROM h WHERE m = 2) - avg(hx.h + hy.h)), 6) AS mutual_information
+    FROM c JOIN h hx ON hx.m = nx JOIN h hy ON hy.m = ny GROUP BY t, a, b"""
+)
+def neighbour_information(spark, sf_dir):
+    """Line items by their flag as tables: mutual information of all pairs of their numbers."""
+    got = information.neighbour_information(read(spark, sf_dir, "lineitem"), list(_NUMERICS), F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.col("l_returnflag"))
+    return got.withColumn("mutual_information", F.round("mutual_information", 6))
+
+
 _AT = (0.5, 0.75, 0.8, 0.85, 0.9, 0.95, 0.975, 0.99, 0.999)
 
 
