@@ -24,8 +24,8 @@ TOP = 20
 
 
 def prepared(features: DataFrame, names: list[str]) -> DataFrame:
-    """Infinity as missing, and clipped."""
-    return features.withColumns({n: clipped(F.col(n).cast("double")) for n in names})
+    """Infinity and NaN as missing, and clipped."""
+    return features.withColumns({n: clipped(F.when(~F.isnan(F.col(n).cast("double")), F.col(n).cast("double"))) for n in names})
 
 
 def fit(features: DataFrame, names: list[str], label: str = "quality", trials: int = 1, seed: int = 42, max_iter: int = 20) -> PipelineModel:

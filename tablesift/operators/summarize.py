@@ -178,15 +178,28 @@ def cells_of(df: DataFrame, order: Column | None = None, table_id: str = "") ->
     return rows.select(F.lit(table_id).alias("table_id"), "row_idx", F.explode("cells").alias("cell")).select("table_id", "row_idx", "cell.*")
 
 
+def _short(value: Column) -> Column:
+    """Long values are told apart by a digest."""
+    return F.when(F.length(value) > 32, F.md5(value.cast("binary"))).otherwise(value)
+
+
+def _thin(cells: DataFrame) -> DataFrame:
+    """Cells with their values' lengths and digests in the place of long values, settled."""
+    from tablesift.streaming.runner import shared_folder
+
+    shared_folder(cells.sparkSession)
+    return cells.withColumns({"length": F.length("value"), "value": _short(F.col("value"))}).checkpoint()
+
+
 def column_statistics(cells: DataFrame) -> DataFrame:
     """All column keys for every column of every table, from its cells: table_id, col_idx, col_name, kind and a double per key, null where it is of another kind."""
     by, value, more = ["table_id", "col_idx"], F.col("value"), F.col("m") > 1
     of = lambda k, c: F.when(F.col("kind") == k, c)
-    # Long values are told apart by a digest.
-    short = F.when(F.length(value) > 32, F.md5(value.cast("binary"))).otherwise(value)
-    counted = cells.groupBy(*by, short.alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    if "length" not in cells.columns:
+        cells = cells.withColumns({"length": F.length("value"), "value": _short(value)})
+    counted = cells.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("c"))
     every = generic(counted, by, F.count("value").cast("double").alias("n_unique"))
-    x, length, micros = of(NUMERIC, value.try_cast("double")), of(OBJECT, F.length(F.coalesce(value, F.lit("None"))).cast("double")), of(DATETIME, F.unix_micros(value.try_cast("timestamp")))
+    x, length, micros = of(NUMERIC, value.try_cast("double")), of(OBJECT, F.coalesce("length", F.lit(4)).cast("double")), of(DATETIME, F.unix_micros(value.try_cast("timestamp")))
     heads = cells.groupBy(*by).agg(F.first("col_name").alias("col_name"), F.first("kind").alias("kind"), F.avg(x).alias("__mean"))
     span = (F.max(micros) - F.min(micros)) / 1e6
     own = cells.join(heads.select(*by, "__mean"), by).groupBy(*by).agg(
@@ -226,6 +239,8 @@ def features_of_tables(cells: DataFrame, facts: DataFrame | None = None) -> Data
 
     ``facts`` has the types of each table's columns (table_id, dtypes); without it the kinds of columns are counted as types.
     """
+    # The cells are read several times; thin ones are kept, so that each table is decoded once.
+    cells = _thin(cells)
     columns = column_statistics(cells)
     whole = F.md5(F.to_json(F.array_sort(F.collect_list(F.struct("col_idx", "value")))))
     rows = cells.groupBy("table_id", "row_idx").agg(whole.alias("digest")).groupBy("table_id", "digest").agg(F.count(F.lit(1)).alias("c"))

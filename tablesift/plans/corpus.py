@@ -113,7 +113,8 @@ def _settled(df: DataFrame) -> DataFrame:
 def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Column] | None = None, quality: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Surviving tables of a corpus (content_hash, arrow_bytes), trimmed: content_hash, nrows, ncols, arrow_bytes.
 
-    ``quality`` maps cells to (table_id, score), the probability of good quality.
+    ``quality`` maps cells to (table_id, score), the probability of good quality; by the configuration it is asked about
+    tables as they come ("pre"), or about what is left of them ("post").
     """
     if config.table_quality_threshold is not None and config.table_quality_position == "pre" and quality is None:
         raise ValueError("this configuration asks a quality model before filtering: give one")
@@ -124,16 +125,23 @@ def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Colu
     cells = arrow_tables.cells(tables)
     columns = _settled(column_facts(cells, config))
     good = _accepted_by_columns(columns, config)
-    scored = lambda: quality(cells).filter(F.col("score") > config.table_quality_threshold).select("table_id")
+    scored = lambda own: quality(own).filter(F.col("score") > config.table_quality_threshold).select("table_id")
     if config.table_quality_threshold is not None and config.table_quality_position == "pre":
-        good = good.join(scored(), "table_id", "left_semi")
+        good = good.join(scored(cells), "table_id", "left_semi")
     own_columns = _settled(kept_columns(columns.join(good, "table_id", "left_semi"), config))
     inner = cells.join(own_columns, ["table_id", "col_idx"], "left_semi")
-    own_rows = kept_rows(inner, config).groupBy("table_id").agg(F.collect_list("row_idx").alias("kept_rows"))
+    rows = kept_rows(inner, config)
+    asked = config.table_quality_threshold is not None and config.table_quality_position == "post" and quality is not None
+    if asked:
+        rows = _settled(rows)
+    own_rows = rows.groupBy("table_id").agg(F.collect_list("row_idx").alias("kept_rows"))
     if config.min_rows is not None:
         own_rows = own_rows.filter(F.size("kept_rows") >= config.min_rows)
-    if config.table_quality_threshold is not None and config.table_quality_position == "post" and quality is not None:
-        own_rows = own_rows.join(scored(), "table_id", "left_semi")
+    if asked:
+        # What is asked then is the table as it is written.
+        own_rows = _settled(own_rows)
+        left = rows.join(own_rows.select("table_id"), "table_id", "left_semi")
+        own_rows = own_rows.join(scored(inner.join(left, ["table_id", "row_idx"], "left_semi")), "table_id", "left_semi")
     decided = own_rows.join(own_columns.groupBy("table_id").agg(F.collect_list("col_idx").alias("kept_columns")), "table_id").withColumnRenamed("table_id", "content_hash")
     chosen = tables.join(decided, "content_hash").withColumns({"nrows": F.size("kept_rows").cast("long"), "ncols": F.size("kept_columns").cast("long")})
     return arrow_tables.trimmed(chosen.select("content_hash", "nrows", "ncols", "arrow_bytes", "kept_rows", "kept_columns"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesift.functions import predicates as P
 from tablesift.functions.language import KnownLanguage, trigram_detector, trigram_model
-from tablesift.operators import dedup, information, quality, sampling, summarize
+from tablesift.operators import dedup, information, quality, sampling, summarize, trees
 from tablesift.operators import filters as O
 from tablesift.operators.profile import column_profile, table_profile
 from tablesift.plans import chains, corpus
@@ -471,23 +471,29 @@ class _AnyEnglish:
 _TURN_BAD = f"length(text) > 14336 OR length(role) > 14336 OR {has_substring('text')} OR {has_substring('role')} OR {is_code('text')} OR {is_code('role')} OR {is_pii('text')} OR {is_pii('role')}"
 
 
-@query(
-    f"""WITH t AS (SELECT conv_id, count(*) AS n, count(DISTINCT turn) >= 2 AS v1, count(DISTINCT concat('t', turn)) >= 2 AS v2,
+_ACCEPTED = f"""t AS (SELECT conv_id, count(*) AS n, count(DISTINCT turn) >= 2 AS v1, count(DISTINCT concat('t', turn)) >= 2 AS v2,
       count(DISTINCT role) >= 2 AND avg({is_null_like('role')}::INT) < 0.1 AS v3, count(DISTINCT text) >= 2 AND avg({is_null_like('text')}::INT) < 0.1 AS v4,
       greatest(avg({is_code('role')}::INT), avg({is_code('text')}::INT)) <= 0.05 AND NOT bool_or({is_pii('role')} OR {is_pii('text')}) AS clean FROM conversations GROUP BY conv_id),
-    a AS (SELECT *, v1::INT + v2::INT + v3::INT + v4::INT AS ncols FROM t WHERE n >= 2 AND clean AND v1::INT + v2::INT + v3::INT + v4::INT >= 2),
-    r AS (SELECT c.conv_id, count(DISTINCT (CASE WHEN v1 THEN turn END, CASE WHEN v3 THEN role END, CASE WHEN v4 THEN text END)) AS n FROM conversations c JOIN a USING (conv_id)
-      WHERE NOT (CASE WHEN v3 AND v4 THEN {_TURN_BAD} WHEN v4 THEN {_TURN_BAD.replace('role', "''")} WHEN v3 THEN {_TURN_BAD.replace('text', "''")} ELSE false END) GROUP BY c.conv_id)
+    a AS (SELECT *, v1::INT + v2::INT + v3::INT + v4::INT AS ncols FROM t WHERE n >= 2 AND clean AND v1::INT + v2::INT + v3::INT + v4::INT >= 2)"""
+_LEFT_ROWS = f"""SELECT DISTINCT conv_id, CASE WHEN v1 THEN turn END AS turn, CASE WHEN v2 THEN concat('t', turn) END AS talk, CASE WHEN v3 THEN role END AS role, CASE WHEN v4 THEN text END AS text, v1, v2, v3, v4 FROM conversations JOIN a USING (conv_id)
+      WHERE NOT (CASE WHEN v3 AND v4 THEN {_TURN_BAD} WHEN v4 THEN {_TURN_BAD.replace('role', "''")} WHEN v3 THEN {_TURN_BAD.replace('text', "''")} ELSE false END)"""
+
+
+@query(
+    f"""WITH {_ACCEPTED}, r AS (SELECT conv_id, count(*) AS n FROM ({_LEFT_ROWS}) GROUP BY conv_id)
     SELECT conv_id::VARCHAR AS content_hash, least(r.n, 3)::BIGINT AS nrows, a.ncols::BIGINT AS ncols FROM r JOIN a USING (conv_id) WHERE r.n >= 2"""
 )
 def corpus_clean(spark, sf_dir):
     return corpus.cleaned(_conversations(spark, sf_dir), _SMALL, _AnyEnglish()).select("content_hash", "nrows", "ncols")
 
 
-def _features_sql() -> str:
-    """All features of each conversation as a table of turn, talk, role and text."""
-    cells = {"turn": "turn::VARCHAR", "talk": "concat('t', turn)", "role": "role", "text": "text"}
-    unpivoted = " UNION ALL ".join(f"SELECT conv_id, '{c}' AS c, {e} AS v FROM conversations" for c, e in cells.items())
+_WHOLE = "SELECT conv_id, turn, concat('t', turn) AS talk, role, text, true AS v1, true AS v2, true AS v3, true AS v4 FROM conversations"
+
+
+def _features_sql(source: str = _WHOLE) -> str:
+    """All features of each conversation as a table of turn, talk, role and text, of which v1 to v4 say whether the table has them."""
+    cells = {"turn": "turn::VARCHAR", "talk": "talk", "role": "role", "text": "text"}
+    unpivoted = " UNION ALL ".join(f"SELECT conv_id, '{c}' AS c, {e} AS v FROM src WHERE v{i + 1}" for i, (c, e) in enumerate(cells.items()))
     stats = {
         "missing": "g.missing", "missing_frac": "g.missing / g.n", "most_frequent_count": "g.most", "most_frequent_frac": "g.most / g.m", "least_frequent_count": "g.least", "least_frequent_frac": "g.least / g.m", "entropy": "g.entropy",
         "kurtosis": "CASE WHEN t.n >= 4 THEN t.kurtosis END", "skewness": "CASE WHEN t.n >= 3 THEN t.skewness END", "mad": "t.mad", "std": "t.std",
@@ -500,17 +506,18 @@ def _features_sql() -> str:
         kind = {"num_": "CASE WHEN g.c = 'turn' THEN {} END", "obj_": "CASE WHEN g.c <> 'turn' THEN {} END", "": "{}"}.get(prefix, "NULL")
         keys.append(f"({kind.format(stats.get(key.removeprefix(prefix), 'NULL'))})::DOUBLE AS {key}")
     features = [f"round({f.format(k)}, 6) AS {k}_{a}" for k in summarize.column_keys() for a, f in _AGGS.items()]
-    fixed = {"dtype_unique_count": 2, "ncols": 4, "dtype_numeric_count": 1, "dtype_numeric_frac": 0.25, "dtype_bool_count": 0, "dtype_bool_frac": 0, "dtype_object_count": 3, "dtype_object_frac": 0.75, "dtype_datetime_count": 0, "dtype_datetime_frac": 0}
-    table = ["d.dup::DOUBLE AS table_duplicate_count", "round(d.dup / d.n, 6) AS table_duplicate_frac", "d.n::DOUBLE AS table_n"] + [f"{v}::DOUBLE AS table_{k}" for k, v in fixed.items()]
-    return f"""WITH u AS ({unpivoted}),
+    fixed = {"dtype_unique_count": "(d.numbers > 0)::INT + (d.texts > 0)::INT", "ncols": "d.numbers + d.texts", "dtype_numeric_count": "d.numbers", "dtype_numeric_frac": "round(d.numbers / (d.numbers + d.texts), 6)", "dtype_bool_count": 0, "dtype_bool_frac": 0, "dtype_object_count": "d.texts", "dtype_object_frac": "round(d.texts / (d.numbers + d.texts), 6)", "dtype_datetime_count": 0, "dtype_datetime_frac": 0}
+    table = ["d.dup::DOUBLE AS table_duplicate_count", "round(d.dup / d.n, 6) AS table_duplicate_frac", "d.n::DOUBLE AS table_n"] + [f"({v})::DOUBLE AS table_{k}" for k, v in fixed.items()]
+    return f"""WITH src AS ({source}),
+    u AS ({unpivoted}),
     k AS (SELECT conv_id, c, v, count(*) AS n FROM u GROUP BY ALL),
     g AS (SELECT conv_id, c, coalesce(sum(n) FILTER (v IS NULL), 0) AS missing, coalesce(max(n) FILTER (v IS NOT NULL), 0) AS most, coalesce(min(n) FILTER (v IS NOT NULL), 0) AS least, sum(n) AS n,
       sum(n) FILTER (v IS NOT NULL) AS m, count(v) AS n_unique, ln(sum(n) FILTER (v IS NOT NULL)) - sum(n * ln(n)) FILTER (v IS NOT NULL) / sum(n) FILTER (v IS NOT NULL) AS entropy FROM k GROUP BY conv_id, c),
     o AS (SELECT conv_id, c, min(length(v)) AS min_length, max(length(v)) AS max_length, avg(length(v)) AS mean_length, quantile_cont(length(v), 0.5) AS median_length FROM u GROUP BY conv_id, c),
     t AS (SELECT conv_id, count(turn) AS n, kurtosis(turn) AS kurtosis, skewness(turn) AS skewness, avg(abs(turn - mean)) AS mad, stddev_samp(turn) AS std
-      FROM conversations JOIN (SELECT conv_id, avg(turn) AS mean FROM conversations GROUP BY conv_id) USING (conv_id) GROUP BY conv_id),
-    s AS (SELECT g.conv_id, {', '.join(keys)} FROM g JOIN o USING (conv_id, c) JOIN t USING (conv_id)),
-    d AS (SELECT conv_id, count(*) AS n, count(*) - count(DISTINCT (turn, role, text)) AS dup FROM conversations GROUP BY conv_id),
+      FROM src JOIN (SELECT conv_id, avg(turn) AS mean FROM src WHERE v1 GROUP BY conv_id) USING (conv_id) WHERE v1 GROUP BY conv_id),
+    s AS (SELECT g.conv_id, {', '.join(keys)} FROM g JOIN o USING (conv_id, c) LEFT JOIN t USING (conv_id)),
+    d AS (SELECT conv_id, count(*) AS n, count(*) - count(DISTINCT (turn, talk, role, text)) AS dup, any_value(v1)::INT AS numbers, any_value(v2)::INT + any_value(v3)::INT + any_value(v4)::INT AS texts FROM src GROUP BY conv_id),
     f AS (SELECT conv_id, {', '.join(features)} FROM s GROUP BY conv_id)
     SELECT f.conv_id::VARCHAR AS table_id, f.* EXCLUDE (conv_id), {', '.join(table)} FROM f JOIN d USING (conv_id)"""
 
@@ -520,10 +527,62 @@ def cell_features(spark, sf_dir):
     """All 381 features of every table of a corpus, in one plan."""
     tables = _conversations(spark, sf_dir)
     facts = arrow_tables.with_facts(tables).select(F.col("content_hash").alias("table_id"), "dtypes")
-    got = summarize.features_of_tables(arrow_tables.cells(tables), facts)
+    return _round_features(summarize.features_of_tables(arrow_tables.cells(tables), facts))
+
+
+def _round_features(got):
     return got.select("table_id", *[F.round(c, 6).alias(c) for c in got.columns if c != "table_id"])
 
 
+#: A small model of the quality of tables, as ``trees.compiled`` makes it of a fitted one.
+QUALITY = trees.Boosted(
+    (
+        (1.0, ("obj_entropy_mean", 1.284033, -1.0, ("obj_entropy_mean", 1.475232, ("obj_mean_length_mean", 172.7916665, -1.0, 1.0), 1.0))),
+        (0.1, ("obj_entropy_mean", 1.284033, -0.476812, ("num_std_mean", 1.4, ("obj_mean_length_mean", 150.0, -0.476812, 0.476812), 0.476812))),
+        (0.1, ("table_n", 4.5, -0.438194, ("num_kurtosis_mean", -1.2, -0.2, ("obj_max_length_max", 900.5, 0.31, 0.438194)))),
+    ),
+    {"obj_entropy_mean": 1.32065, "obj_mean_length_mean": 179.58307, "num_std_mean": 1.684563, "num_kurtosis_mean": -1.2, "obj_max_length_max": 1281.5, "table_n": 5.36},
+)
+
+
+def _scored_by(cells):
+    return trees.quality_of(QUALITY, lambda own: _round_features(summarize.features_of_tables(own)))(cells)
+
+
+@query(f"SELECT table_id, round({QUALITY.sql()}, 9) AS score FROM ({_features_sql()})")
+def table_scores(spark, sf_dir):
+    """The quality of every table of a corpus: features and trees in one plan of expressions."""
+    return _scored_by(arrow_tables.cells(_conversations(spark, sf_dir))).withColumn("score", F.round("score", 9))
+
+
+@query(" UNION ALL ".join(f"SELECT {q}::DOUBLE AS quantile, round(quantile_cont({QUALITY.sql()}, {q}), 6) AS value FROM ({_features_sql()})" for q in (0.5, 0.9, 0.99)))
+def table_score_quantiles(spark, sf_dir):
+    """Of the scores of all tables: where to put the threshold."""
+    scores = _scored_by(arrow_tables.cells(_conversations(spark, sf_dir)))
+    return summarize.score_quantiles(scores, "score", (0.5, 0.9, 0.99)).withColumn("value", F.round("value", 6))
+
+
+@query(
+    f"""WITH {_ACCEPTED}, good AS (SELECT table_id FROM ({_features_sql()}) WHERE {QUALITY.sql()} > 0.5), r AS (SELECT conv_id, count(*) AS n FROM ({_LEFT_ROWS}) GROUP BY conv_id)
+    SELECT conv_id::VARCHAR AS content_hash, r.n::BIGINT AS nrows, a.ncols::BIGINT AS ncols FROM r JOIN a USING (conv_id) WHERE r.n >= 2 AND conv_id::VARCHAR IN (SELECT table_id FROM good)"""
+)
+def corpus_quality_before(spark, sf_dir):
+    """As version 7: tables of good quality, as they come, are cleaned."""
+    own = replace(_SMALL, max_output_rows=None, table_quality_threshold=0.5, table_quality_position="pre")
+    return corpus.cleaned(_conversations(spark, sf_dir), own, _AnyEnglish(), _scored_by).select("content_hash", "nrows", "ncols")
+
+
+@query(
+    f"""WITH {_ACCEPTED}, r AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM ({_LEFT_ROWS})), kept AS (SELECT * FROM r WHERE n >= 2),
+    good AS (SELECT table_id FROM ({_features_sql("SELECT conv_id, turn, talk, role, text, v1, v2, v3, v4 FROM kept")}) WHERE {QUALITY.sql()} > 0.5)
+    SELECT DISTINCT conv_id::VARCHAR AS content_hash, kept.n::BIGINT AS nrows, a.ncols::BIGINT AS ncols FROM kept JOIN a USING (conv_id) WHERE conv_id::VARCHAR IN (SELECT table_id FROM good)"""
+)
+def corpus_quality_after(spark, sf_dir):
+    """As version 8: of the cleaned tables those of good quality, by what is left of them."""
+    own = replace(_SMALL, max_output_rows=None, table_quality_threshold=0.5, table_quality_position="post")
+    return corpus.cleaned(_conversations(spark, sf_dir), own, _AnyEnglish(), _scored_by).select("content_hash", "nrows", "ncols")
+
+
 _NAMES = {"turn": "number", "talk": "code", "role": "type", "text": "status"}
 
 
