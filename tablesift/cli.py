@@ -27,6 +27,8 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--chunk-size", type=int, default=512)
     one.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     one.add_argument("--manifest", help="where the manifest goes as Parquet")
+    one.add_argument("--language", help="weights of a language model, for the names of columns")
+    one.add_argument("--quality", help="trees that train has written, for versions with a threshold")
     one = commands.add_parser("summarize", help="features of tables in files")
     one.add_argument("out")
     one.add_argument("files", nargs="+")
@@ -55,7 +57,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "dedup":
         corpus.dedup(spark, args.directory, args.out, args.max_shards)
     elif args.command == "process":
-        manifest = corpus.process(spark, args.directory, args.index, args.out, config(args.version), args.chunk, args.chunk_size, args.format)
+        from tablesift.operators import trees
+        from tablesift.operators.language_model import LanguageModel
+        from tablesift.operators.summarize import features_of_tables
+
+        language = LanguageModel.of_table(spark.read.parquet(args.language)) if args.language else None
+        own = trees.quality_of(trees.load(spark, args.quality), features_of_tables) if args.quality else None
+        manifest = corpus.process(spark, args.directory, args.index, args.out, config(args.version), args.chunk, args.chunk_size, args.format, language, own)
         manifest.write.mode("overwrite").parquet(args.manifest or f"{args.out}-manifest")
     elif args.command == "features":
         from pyspark.sql import functions as F
@@ -93,7 +101,7 @@ def _numeric(features) -> list[str]:
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     from pyspark.sql import functions as F
 
-    from tablesift.operators import quality
+    from tablesift.operators import quality, search, trees
     from tablesift.operators.sampling import stratified_split
     from tablesift.sources import shards, sinks
 
@@ -104,12 +112,20 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     keyed = rows.withColumn("__key", F.md5(F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]))))
     split = stratified_split(keyed, label, "__key")
     split.select(*names, F.col(label).cast("int").alias(label), "in_train").write.mode("overwrite").option("header", "true").csv(f"{args.out}/training")
-    model = quality.fit(split.filter("in_train"), names, label, args.trials)
+    train = split.filter("in_train").drop("in_train")
+    if args.trials > 1:
+        found = search.search(train, names, label, "__key", args.trials)
+        model, history = found.model, found.history()
+    else:
+        model, history = quality.fit(train, names, label), []
     scores = quality.scored(split.filter("NOT in_train"), model, names)
     result = quality.evaluate(scores, label).first().asDict()
     quality.report(scores, label).coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{args.out}/report")
     path = quality.save(model, args.out)
-    sinks.write_run(f"{args.out}/run.json", model=path, names=names, label=label, trials=args.trials, importances=quality.importances(model, names), **result)
+    # The same as plain trees, for ``process``.
+    own = path.replace("/model-", "/trees-")
+    trees.save(trees.compiled(model, names), spark, own)
+    sinks.write_run(f"{args.out}/run.json", model=path, trees=own, names=names, label=label, trials=args.trials, history=history, importances=quality.importances(model, names), **result)
 
 
 if __name__ == "__main__":

@@ -32,10 +32,14 @@ def dedup(spark: SparkSession, directory: str, out: str, max_shards: int | None
     return sinks.read_index(spark, out)
 
 
-def _accepted_by_names(facts: DataFrame, config: Config, detector: Callable[[Column], Column]) -> DataFrame:
+def accepted_by_names(facts: DataFrame, config: Config, detector: Callable[[Column], Column]) -> DataFrame:
     """What language, counts, headers and types accept."""
     headers = F.array_join(F.transform(F.filter("names", lambda n: n.isNotNull()), lambda n: F.replace(n, F.lit("\n"), F.lit(""))), " ")
-    good = F.col("error").isNull() & P.is_english(detector(headers), config.langdetect_threshold)
+    # The detector may be a Python function: its argument is a column, made before it.
+    columns = facts.columns
+    facts = facts.withColumn("__headers", headers)
+    facts = facts.withColumn("__english", P.is_english(detector(F.col("__headers")), config.langdetect_threshold))
+    good = F.col("error").isNull() & F.col("__english")
     if config.min_rows is not None:
         good &= F.col("nrows") >= config.min_rows
     if config.max_rows is not None:
@@ -46,7 +50,7 @@ def _accepted_by_names(facts: DataFrame, config: Config, detector: Callable[[Col
         good &= F.col("ncols") <= config.max_cols
     if config.min_dtypes is not None:
         good &= F.size(F.array_distinct("dtypes")) >= config.min_dtypes
-    return facts.filter(good & ~bad_headers(F.col("names"), config.max_frac_numeric_colnames, config.max_frac_unnamed_colnames))
+    return facts.filter(good & ~bad_headers(F.col("names"), config.max_frac_numeric_colnames, config.max_frac_unnamed_colnames)).select(*columns)
 
 
 def column_facts(cells: DataFrame, config: Config) -> DataFrame:
@@ -120,7 +124,7 @@ def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Colu
         raise ValueError("this configuration asks a quality model before filtering: give one")
     # Decisions are thin and settled, so that blobs are decoded once for their facts, once for what their
     # columns hold, once for their rows, and once to be trimmed.
-    named = _settled(_accepted_by_names(arrow_tables.with_facts(corpus), config, detector or FrequentWords()).select("content_hash"))
+    named = _settled(accepted_by_names(arrow_tables.with_facts(corpus), config, detector or FrequentWords()).select("content_hash"))
     tables = corpus.join(named, "content_hash", "left_semi")
     cells = arrow_tables.cells(tables)
     columns = _settled(column_facts(cells, config))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablesift.functions import predicates as P
 from tablesift.functions.language import KnownLanguage, trigram_detector, trigram_model
-from tablesift.operators import dedup, information, quality, sampling, summarize, trees
+from tablesift.operators import dedup, information, language_model, quality, sampling, summarize, trees
 from tablesift.operators import filters as O
 from tablesift.operators.profile import column_profile, table_profile
 from tablesift.plans import chains, corpus
@@ -435,6 +435,70 @@ def detected_languages(spark, sf_dir):
     return found.groupBy("known", F.coalesce("found.lang", F.lit("und")).alias("lang")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("found.score"), 6).alias("score"), F.sum(P.is_english(F.col("found")).cast("long")).alias("english"))
 
 
+# Three quarters of the documents, by a digest of their id, are what the language model is fitted on.
+_FITTED = "substr(md5(doc_id::VARCHAR), 1, 1) < 'c'"
+
+
+def _grams_sql(name: str, rows: str) -> str:
+    """Features of texts: doc_id, b and x."""
+    one, two, three = language_model.FACTORS
+    return f"""{name}_w AS (SELECT doc_id, word, count(*) AS c FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS word FROM ({rows})) WHERE word <> '' GROUP BY ALL),
+    {name}_g AS (SELECT doc_id, c, concat(' ', word, ' ') AS p, unnest(range(1, length(word) + 1)) AS i FROM {name}_w),
+    {name}_b AS (SELECT doc_id, (unicode(substr(p, i, 1)) * {one} + unicode(substr(p, i + 1, 1)) * {two} + unicode(substr(p, i + 2, 1)) * {three}) % {language_model.BUCKETS} AS b, sum(c) AS c FROM {name}_g GROUP BY ALL),
+    {name} AS MATERIALIZED (SELECT doc_id, b, sqrt(c / sum(c) OVER (PARTITION BY doc_id)) AS x FROM {name}_b)"""
+
+
+def _softmax_sql(name: str, features: str, weights: str) -> str:
+    return f"""{name}_z AS (SELECT doc_id, w.lang, sum(x * weight) AS z FROM {features} JOIN {weights} w USING (b) GROUP BY ALL),
+    {name}_e AS (SELECT doc_id, lang, exp(z - max(z) OVER (PARTITION BY doc_id)) AS e FROM {name}_z),
+    {name} AS MATERIALIZED (SELECT doc_id, lang, e / sum(e) OVER (PARTITION BY doc_id) AS p FROM {name}_e)"""
+
+
+def _fitted_sql() -> str:
+    """The steps of the fit, from documents; the last weights are ``weights``."""
+    parts = [_grams_sql("f", f"SELECT doc_id, text FROM documents WHERE lang IS NOT NULL AND {_FITTED}")]
+    parts.append("own AS (SELECT DISTINCT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM f))")
+    parts.append("langs AS (SELECT lang, 1.0::DOUBLE / (count(*) * (SELECT count(DISTINCT lang) FROM own)) AS share FROM own GROUP BY lang)")
+    parts.append("w0 AS (SELECT b, lang, 0.0::DOUBLE AS weight FROM (SELECT DISTINCT b FROM f), langs)")
+    for i in range(language_model.STEPS):
+        parts.append(_softmax_sql(f"p{i}", "f", f"w{i}"))
+        parts.append(
+            f"""w{i + 1} AS MATERIALIZED (SELECT f.b, w.lang, any_value(w.weight) + {language_model.RATE} * sum(x * ((o.lang = w.lang)::INT - p) * share) AS weight
+            FROM f JOIN own o USING (doc_id) JOIN langs s ON s.lang = o.lang JOIN p{i} USING (doc_id) JOIN w{i} w ON w.b = f.b AND w.lang = p{i}.lang GROUP BY f.b, w.lang)"""
+        )
+    return ",\n    ".join([*parts, f"weights AS (SELECT * FROM w{language_model.STEPS})"])
+
+
+_HELD = f"SELECT doc_id, text FROM documents WHERE NOT {_FITTED}"
+_HEADERS = f"SELECT doc_id, array_to_string(names, ' ') AS text FROM (SELECT doc_id, list_slice(string_split(text, ' '), 1, 12) AS names FROM documents WHERE NOT {_FITTED})"
+
+
+def _language_model(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text").withColumn("fitted", F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < "c")
+    return language_model.fit(docs.filter("fitted"), "text", "lang"), docs.filter("NOT fitted")
+
+
+@query(f"WITH {_fitted_sql()}, {_grams_sql('t', _HELD)}, {_softmax_sql('found', 't', 'weights')} SELECT doc_id, arg_max(lang, p) AS lang, round(max(p), 6) AS score FROM found GROUP BY doc_id")
+def held_out_languages(spark, sf_dir):
+    """Languages of the documents that the model isn't fitted on."""
+    model, held = _language_model(spark, sf_dir)
+    return held.withColumn("found", model(F.col("text"))).select("doc_id", "found.lang", F.round("found.score", 6).alias("score")).filter("lang <> 'und'")
+
+
+@query(
+    f"""WITH {_fitted_sql()}, {_grams_sql('t', _HEADERS)}, {_softmax_sql('found', 't', 'weights')}, names AS (SELECT doc_id, string_split(text, ' ') AS names FROM ({_HEADERS}))
+    SELECT doc_id FROM found JOIN names USING (doc_id) WHERE lang = 'en' AND p >= 0.5 AND p = (SELECT max(p) FROM found o WHERE o.doc_id = found.doc_id)
+      AND NOT (len(list_filter(names, lambda n: regexp_matches(n, '{P.NUMBER}'))) / len(names) > 0.1 OR len(list_filter(names, lambda n: regexp_matches(n, '{_KV}'))) > 0 OR starts_with(names[1], '{{') AND ends_with(names[len(names)], '}}'))"""
+)
+def english_tables(spark, sf_dir):
+    """Tables with twelve words as headers, by the corpus plan's first decision with its threshold of 0.5: those of other languages go."""
+    model, held = _language_model(spark, sf_dir)
+    names = F.slice(F.split("text", " "), 1, 12)
+    facts = held.select("doc_id", names.alias("names"), F.transform(names, lambda _: F.lit("string")).alias("dtypes"), F.lit(100).alias("nrows"), F.size(names).alias("ncols"), F.lit(None).cast("string").alias("error"))
+    own = config("v6", min_cols=None, max_frac_unnamed_colnames=None)
+    return corpus.accepted_by_names(facts, own, model).select("doc_id")
+
+
 @query("SELECT o_orderkey, CASE WHEN o_totalprice IS NOT NULL THEN greatest(least(o_totalprice * 1e10, 1e15), -1e15) END AS clipped FROM orders")
 def clipped_values(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", P.clipped(F.col("o_totalprice") * 1e10).alias("clipped"))
