@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -90,6 +91,16 @@ def among(rows: DataFrame, keys: DataFrame, column: str, bits: int = FILTER_BITS
     return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
 
 
+def tidied(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints that nothing refers to any more.
+
+    It does so when the driver's memory happens to be collected, which for a query of many
+    small jobs may be at its end; until then they fill the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(name: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

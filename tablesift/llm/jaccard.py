@@ -50,7 +50,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import place_of, plainly_named, settle, slices, small, table, text_of
+from tablesift.llm.common import place_of, plainly_named, settle, slices, small, table, text_of, tidied
 from tablesift.llm.word_hash import mix, shingle_sets
 
 SHINGLE = 5
@@ -292,6 +292,7 @@ def components(links: DataFrame) -> DataFrame:
         if next_.count() == edges.count() and next_.exceptAll(edges).limit(1).count() == 0:
             break
         edges = next_
+        tidied(edges.sparkSession)
     return edges.select(F.col("a").alias("key"), F.col("b").alias("part")).union(edges.select(F.col("b").alias("key"), F.col("b").alias("part"))).distinct()
 
 
@@ -315,7 +316,10 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     near = (F.col("n") * 100 >= F.col("m") * PERCENT) & (F.col("m") * 100 >= F.col("n") * PERCENT)
     pairs = settle(spread.join(middle, ["star", "hash"]).filter((F.col("key") != F.col("b")) & near).select(F.col("key").alias("a"), "b").distinct())
     stars = settle(verified(pairs, docs))
+    del pairs, middle, spread
+    tidied(spark)
     parts = settle(components(stars))
+    tidied(spark)
 
     # Step 2: the prefix join of components, by a 64-bit label of each.
     label = F.xxhash64(F.coalesce("part", "key"))
@@ -326,7 +330,10 @@ def near_duplicates(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         inside = nodes.select("key").join(parts, "key", "left").select("key", label.alias("part")).join(members, "part", "left_semi")
         again = docs.join(small(settle(inside)), "key").select("key", "part", "text")
         pairs = settle(_node_pairs(prefixes(again, counts)))
+        del again, inside, members
+        tidied(spark)
         parts = settle(components(stars.union(settle(verified(pairs, docs)))))
+        tidied(spark)
     labelled = rows.select("doc_id", "key", "n").join(parts, "key", "left").withColumn("part", F.coalesce("part", "key"))
     ids = settle(labelled.groupBy("part").agg(F.min("doc_id").alias("component_id"), F.max("n").alias("most")))
     out = labelled.join(ids, "part")

@@ -43,7 +43,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import among, discard, rewritten, settle, small, table
+from tablesift.llm.common import among, discard, rewritten, settle, small, table, tidied
 
 #: Words of a run that is hashed as fingerprint; a passage shares its windows' runs.
 GRAM = 16
@@ -147,6 +147,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     mixed = met.filter("mixed").drop("at")
     kinds = settle(mixed.groupBy("h", "whole").agg(F.min("d").alias("at")))
     mixed = rewritten(mixed.join(small(kinds), ["h", "whole"]).select("h", "d", "first", "last", "at"), paths)
+    tidied(units.sparkSession)
     equal = met.filter("NOT mixed").select("h", "d", "first", "last", "at")
     whole = equal.union(mixed).filter("d <> at").select("d", "first", "last")
 
@@ -167,6 +168,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     window = lambda c, p, r: F.struct(p.alias("p"), F.when(r["hashed"], F.coalesce(F.get("line", p), F.lit(0))).alias("line"), F.when(r["hashed"], F.xxhash64(_run(c, p, min_words))).alias("h"))
     windows = _with("codes", lambda c: F.flatten(F.transform("rest", lambda r: F.transform(inner(r), lambda p: window(c, p, r)))))
     windows = rewritten(_exploded(found, windows, "d"), paths)
+    tidied(units.sparkSession)
     hashed = windows.filter("h IS NOT NULL")
     first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
     first = settle(first)
@@ -206,6 +208,7 @@ def without_runs(df: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     paths: list[str] = []
     bounds = settle(_merged(repeated_windows(units, min_words, gram, paths), min_words))
     discard(df.sparkSession, paths)
+    tidied(df.sparkSession)
     marked = docs.join(small(bounds, "bounds"), "d", "left").drop("d", "__id")
     # Words with the white space behind them; what stands in front of the first word is one of them, too.
     marked = marked.withColumn("tokens", F.when(F.col("bounds").isNotNull(), F.split("__text", r"(?<=\s)(?=\S)")))
