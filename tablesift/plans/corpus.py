@@ -9,6 +9,7 @@ column numbers; they are applied to each table's own bytes at the end.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tablesift.operators.dedup import dedup_index, deduped
 from tablesift.operators.filters import bad_headers
 from tablesift.operators.sampling import chunk_of
 from tablesift.plans.config import Config
-from tablesift.sources import arrow_tables, shards, sinks
+from tablesift.sources import arrow_tables, shards, sinks, transaction
 from tablesift.streaming.runner import shared_folder
 
 
@@ -114,17 +115,18 @@ def _settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Column] | None = None, quality: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Column] | None = None, quality: Callable[[DataFrame], DataFrame] | None = None, facts: DataFrame | None = None) -> DataFrame:
     """Surviving tables of a corpus (content_hash, arrow_bytes), trimmed: content_hash, nrows, ncols, arrow_bytes.
 
     ``quality`` maps cells to (table_id, score), the probability of good quality; by the configuration it is asked about
-    tables as they come ("pre"), or about what is left of them ("post").
+    tables as they come ("pre"), or about what is left of them ("post").  ``facts`` are those of ``arrow_tables.with_facts``, if
+    they are known.
     """
     if config.table_quality_threshold is not None and config.table_quality_position == "pre" and quality is None:
         raise ValueError("this configuration asks a quality model before filtering: give one")
     # Decisions are thin and settled, so that blobs are decoded once for their facts, once for what their
     # columns hold, once for their rows, and once to be trimmed.
-    named = _settled(accepted_by_names(arrow_tables.with_facts(corpus), config, detector or FrequentWords()).select("content_hash"))
+    named = _settled(accepted_by_names(arrow_tables.with_facts(corpus) if facts is None else facts, config, detector or FrequentWords()).select("content_hash"))
     tables = corpus.join(named, "content_hash", "left_semi")
     cells = arrow_tables.cells(tables)
     columns = _settled(column_facts(cells, config))
@@ -151,6 +153,38 @@ def cleaned(corpus: DataFrame, config: Config, detector: Callable[[Column], Colu
     return arrow_tables.trimmed(chosen.select("content_hash", "nrows", "ncols", "arrow_bytes", "kept_rows", "kept_columns"))
 
 
+def chunks_of(spark: SparkSession, directory: str, chunk_size: int = 512) -> int:
+    """How many chunks a corpus has."""
+    return -(-shards.shard_paths(shards.read_shards(spark, directory)).count() // chunk_size)
+
+
+def process_chunks(
+    spark: SparkSession, directory: str, index: str, out: str, config: Config, chunk_size: int = 512, file_format: str = "parquet", detector=None, quality=None, only: list[int] | None = None
+) -> DataFrame:
+    """Clean a corpus chunk by chunk; returns the manifest of all chunks that are done, with ``chunk``.
+
+    A chunk is some of the files, by digest.  Its tables and its manifest are committed together in a
+    folder of its own, so the commits are the ledger: a run that is begun again goes on with the chunks that have
+    none, and one that broke off in a chunk leaves nothing of it.  ``only`` names chunks, for several
+    drivers side by side.  Tables that can't be decoded are rows of the manifest with their errors.
+    """
+    rows = shards.read_shards(spark, directory).select("key", "arrow_bytes", "path")
+    paths = _settled(shards.shard_paths(rows))
+    count = -(-paths.count() // chunk_size)
+    done = []
+    for chunk in range(count) if only is None else only:
+        own = sinks.chunk_directory(out, chunk)
+        if transaction.committed(spark, own) is None:
+            mine = chunk_of(paths, "path", chunk_size, chunk).select("path")  # at most chunk_size names
+            corpus = deduped(rows.join(F.broadcast(mine), "path", "left_semi"), sinks.read_index_of(spark, index, mine)).select("content_hash", "arrow_bytes")
+            facts = _settled(arrow_tables.with_facts(corpus).drop("arrow_bytes"))
+            broken = corpus.join(facts.filter("error IS NOT NULL").select("content_hash"), "content_hash", "left_semi").select("content_hash", "arrow_bytes")
+            kept = cleaned(corpus, config, detector, quality, facts).select("content_hash", "arrow_bytes")
+            transaction.save_tables(kept.unionByName(broken), own, file_format)
+        done.append(transaction.read_manifest(spark, own).withColumn("chunk", F.lit(chunk)))
+    return reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], f"{sinks.MANIFEST}, chunk int")
+
+
 def process(spark: SparkSession, directory: str, index: str, out: str, config: Config, chunk: int | None = None, chunk_size: int = 512, file_format: str = "parquet", detector=None, quality=None) -> DataFrame:
     """Clean a corpus, or one chunk of its files, and write a file per table; returns the manifest."""
     rows = shards.read_shards(spark, directory).select("key", "arrow_bytes", "path")

@@ -668,6 +668,26 @@ def corpus_run(spark, sf_dir):
     return manifest.select("table_id", "rows", "error")
 
 
+@query(f"SELECT content_hash AS table_id, nrows AS rows, false AS broken FROM ({ORACLE_SQL['corpus_clean']}) UNION ALL SELECT concat('broken', i), NULL, true FROM range(3) t(i)")
+def corpus_chunks(spark, sf_dir):
+    """The same in three chunks of files, with a broken table in each: the run breaks off after the second and is begun again, and no table is missing or there twice."""
+    import uuid
+
+    from tablesift.streaming.runner import shared_folder
+
+    folder = f"{shared_folder(spark)}/chunks-{uuid.uuid4().hex}"
+    turns = read(spark, sf_dir, "conversations").withColumn("talk", F.concat(F.lit("t"), "turn")).withColumnsRenamed(_NAMES)
+    tables = arrow_tables.blobs(turns, "conv_id", list(_NAMES.values()), ["number", "status"])
+    broken = spark.range(3).select(F.concat(F.lit("broken"), "id").alias("content_hash"), F.lit(b"no table").alias("arrow_bytes"), F.col("id").alias("part"))
+    rows = tables.withColumn("part", F.pmod(F.crc32("content_hash"), F.lit(3))).unionByName(broken).select(F.concat(F.lit("a/"), "content_hash").alias("key"), "arrow_bytes", "part")
+    rows.repartition(3, "part").write.partitionBy("part").parquet(f"{folder}/shards")
+    corpus.dedup(spark, f"{folder}/shards", f"{folder}/index")
+    whole = dict(directory=f"{folder}/shards", index=f"{folder}/index", out=f"{folder}/tables", config=_SMALL, chunk_size=1)
+    corpus.process_chunks(spark, **whole, only=[0, 1])
+    manifest = corpus.process_chunks(spark, **whole)
+    return manifest.select("table_id", "rows", F.col("error").isNotNull().alias("broken"))
+
+
 @query()
 def quality_model(spark, sf_dir):
     """A quality model of documents: fit on a split of the labels, evaluated on the rest."""

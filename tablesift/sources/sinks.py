@@ -27,6 +27,12 @@ def read_index(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(directory).select("key", "path", "content_hash")
 
 
+def read_index_of(spark: SparkSession, directory: str, paths: DataFrame) -> DataFrame:
+    """The index of some files only: ``paths`` is thin, and the folders of other files aren't read, as Spark prunes them when it knows the paths."""
+    tokens = F.broadcast(paths.select(path_token(F.col("path")).alias("shard")))  # a chunk's names
+    return spark.read.parquet(directory).join(tokens, "shard", "left_semi").select("key", "path", "content_hash")
+
+
 def chunk_directory(directory: str, index: int) -> str:
     return f"{directory}/chunk-{index:04}"
 
