@@ -7,12 +7,16 @@ missing where ``LEAST_SHARE`` of its words are there, so no window that could be
 notice is left out; one whose words can't reach that share in any order is passed over.
 
 The others are the candidate blocks.  Each is compressed with zstandard, alone and
-with each template that it may hold as raw dictionary, and the templates are ranked
-by how much smaller they make it.  In this order they are confirmed by their exact
+with every template as raw dictionary, and the templates are ranked by how much smaller
+they make it.  The ``WINNERS`` that make it smallest, by ``LEAST_REDUCTION`` at least, are
+winners, and so are templates that come as near to the last of them as ``NEAR``; no other
+template is looked for in the block.  Winners are confirmed by their exact
 wording: words of template and block are aligned, with no more than ``MOST_BETWEEN``
 foreign words at a place, and the share of the template's words that stand there in order
-must reach ``LEAST_SHARE``; what is missing or different is reported.  Where notices
-overlap, the one that is nearer in wording counts, then the one that ranked higher.
+must reach ``LEAST_SHARE``; what is missing or different is reported.  Words that say
+which license it is, names and versions, must all stand there, and none that makes it another
+one, such as "lesser".  Where notices overlap, the one that is nearer in wording counts, then the one
+that ranked higher.
 
 Each text is worked off on its own in Arrow batches; nothing is shuffled, and
 a task holds the templates and one text.
@@ -44,6 +48,10 @@ LEAST_SHARE = 0.8
 #: Foreign words that may stand between two words of a notice.
 MOST_BETWEEN = 3
 LEVEL = 3
+#: Templates that are confirmed in a block, the least by which they make it smaller, and what counts as equal.
+WINNERS = 3
+LEAST_REDUCTION = 0.1
+NEAR = 0.05
 
 # License texts and notices, by name.
 TEMPLATES = {
@@ -69,6 +77,9 @@ TEMPLATES = {
 
 # Words that most English texts have.
 _COMMON = frozenset("a all an and any are as at be by for from in is it not of on or other that the this to under use used was with without work you".split())
+# Words that name a license, besides those with a digit, and words that make another one of it.
+_NAMES = frozenset("apache mit bsd isc gnu general mozilla boost creative commons attribution by-nc by-sa".split())
+_OTHERS = frozenset("affero lesser library noncommercial non-commercial noderivatives noderivs sharealike share-alike".split())
 _WORD = re.compile(r"\w+(?:[.'-]\w+)*")
 
 _ROWS = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("reduction", pa.float64()), ("share", pa.float64()), ("missing", pa.string())])
@@ -90,11 +101,24 @@ def cues(template: list[str]) -> set[str]:
     return found
 
 
+def deciding(template: list[str]) -> set[str]:
+    """Words of a template without which it is no notice of that license: names, and numbers of versions."""
+    return {w for w in template if w in _NAMES or (any(c.isdigit() for c in w) and not w.startswith("http"))}
+
+
+def is_the_one(template: Template, missing: str, own: list[str]) -> bool:
+    """Whether all deciding words are among those of a notice, ``own``, and none that makes another license of it."""
+    held = template.bag - Counter(missing.split())
+    numbers = {w.removesuffix(".0") for w in own}
+    return all(held[w] or (w[0].isdigit() and w.removesuffix(".0") in numbers) for w in template.deciding) and not (_OTHERS & set(own)) - set(template.bag)
+
+
 @dataclass(frozen=True)
 class Template:
     name: str
     words: list[str]
     bag: Counter
+    deciding: set[str]
     cues: set[str]
     compressor: zstandard.ZstdCompressor
 
@@ -106,7 +130,7 @@ def _prepared(templates: tuple[tuple[str, str], ...]) -> tuple[list[Template], s
     for name, text in sorted(templates):
         raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         own = words(text)
-        out.append(Template(name, own, Counter(own), cues(own), zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_checksum=False)))
+        out.append(Template(name, own, Counter(own), deciding(own), cues(own), zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_checksum=False)))
     return out, set().union(*(t.cues for t in out))
 
 
@@ -139,7 +163,14 @@ def confirmed(template: list[str], own: list[str]) -> tuple[float, int, int, str
     return len(held) / len(template), best[0].b, best[-1].b + best[-1].size - 1, " ".join(w for i, w in enumerate(template) if i not in held)
 
 
-def licenses_in(text: str, templates: dict[str, str] = TEMPLATES) -> list[tuple[str, int, int, float, float, str]]:
+def winners(reductions: list[float], most: int = WINNERS, least: float = LEAST_REDUCTION) -> set[int]:
+    """The templates that make a block smallest."""
+    ranked = sorted(reductions, reverse=True)
+    floor = max(least, ranked[min(most, len(ranked)) - 1] - NEAR) if ranked else least
+    return {k for k, r in enumerate(reductions) if r >= floor}
+
+
+def licenses_in(text: str, templates: dict[str, str] = TEMPLATES, most: int = WINNERS, least: float = LEAST_REDUCTION) -> list[tuple[str, int, int, float, float, str]]:
     """License, start, end, reduction, share and missing words of each notice in a text."""
     prepared, all_cues = _prepared(tuple(templates.items()))
     if all_cues.isdisjoint(words(text)):
@@ -151,22 +182,25 @@ def licenses_in(text: str, templates: dict[str, str] = TEMPLATES) -> list[tuple[
         if word in all_cues:
             at.setdefault(word, []).append(i)
     plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)
-    ranked: list[tuple[float, int, int, int]] = []  # reduction, template, window
-    sizes: dict[tuple[int, int], int] = {}
+    blocks: dict[tuple[int, int], list[int]] = {}  # windows, and the templates that they are for
     for k, template in enumerate(prepared):
         near = sorted(i for cue in template.cues for i in at.get(cue, ()))
         for first, after in candidate_windows(near, len(own), len(template.words)):
             # The share can't be larger than that of the words in any order.
-            if sum((template.bag & Counter(w for w in own[first:after] if w in template.bag)).values()) < LEAST_SHARE * len(template.words):
-                continue
-            raw = text[spans[first][0] : spans[after - 1][1]].lower().encode(errors="replace")
-            alone = sizes.get((first, after)) or sizes.setdefault((first, after), len(plain.compress(raw)))
-            ranked.append((1 - len(template.compressor.compress(raw)) / alone, k, first, after))
+            if sum((template.bag & Counter(w for w in own[first:after] if w in template.bag)).values()) >= LEAST_SHARE * len(template.words):
+                blocks.setdefault((first, after), []).append(k)
+    ranked: list[tuple[float, int, int, int]] = []  # reduction, template, window
+    for (first, after), wanted in blocks.items():
+        raw = text[spans[first][0] : spans[after - 1][1]].lower().encode(errors="replace")
+        alone = len(plain.compress(raw))
+        reductions = [1 - len(t.compressor.compress(raw)) / alone for t in prepared]
+        best = winners(reductions, most, least)
+        ranked += [(reductions[k], k, first, after) for k in wanted if k in best]
     found: list[tuple[str, int, int, float, float, str]] = []
     for _, k, first, after in sorted(ranked, key=lambda r: (-r[0], r[1:])):
         template = prepared[k]
         share, a, b, missing = confirmed(template.words, own[first:after])
-        if share >= LEAST_SHARE:
+        if share >= LEAST_SHARE and is_the_one(template, missing, own[first + a : min(first + b + 2, after)]):  # with a word behind, which may be the version
             start, stop = spans[first + a][0], spans[first + b][1]
             raw = text[start:stop].lower().encode(errors="replace")
             found.append((template.name, start, stop, 1 - len(template.compressor.compress(raw)) / len(plain.compress(raw)), share, missing))
