@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--version", default="v6", choices=sorted(VERSIONS))
     one.add_argument("--chunk", type=int)
     one.add_argument("--chunk-size", type=int, default=512)
+    one.add_argument("--resume", action="store_true", help="chunk by chunk, each committed as a whole; goes on with those that aren't")
     one.add_argument("--format", default="parquet", choices=("parquet", "csv"))
     one.add_argument("--manifest", help="where the manifest goes as Parquet")
     one.add_argument("--language", help="weights of a language model, for the names of columns")
@@ -63,7 +64,11 @@ def main(argv: list[str] | None = None) -> None:
 
         language = LanguageModel.of_table(spark.read.parquet(args.language)) if args.language else None
         own = trees.quality_of(trees.load(spark, args.quality), features_of_tables) if args.quality else None
-        manifest = corpus.process(spark, args.directory, args.index, args.out, config(args.version), args.chunk, args.chunk_size, args.format, language, own)
+        if args.resume:
+            only = None if args.chunk is None else [args.chunk]
+            manifest = corpus.process_chunks(spark, args.directory, args.index, args.out, config(args.version), args.chunk_size, args.format, language, own, only)
+        else:
+            manifest = corpus.process(spark, args.directory, args.index, args.out, config(args.version), args.chunk, args.chunk_size, args.format, language, own)
         manifest.write.mode("overwrite").parquet(args.manifest or f"{args.out}-manifest")
     elif args.command == "features":
         from pyspark.sql import functions as F
