@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tablesift.functions import words
+
 # What counts as code.
 CODE_DEFINITION = r"\b(def\s+\w+\s*\([^)]*\)\s*:|function\s+\w+\s*\(|\w+\s*\([^)]*\)\s*\{)"
 CODE_COMMENT = r"/\*[\s\S]*?\*/|#.*"
@@ -109,8 +111,8 @@ def header_underscores(name: Column) -> Column:
 
 
 def header_words(name: Column) -> Column:
-    """Runs of word characters, and other characters one by one; near to a word tokeniser for names."""
-    return F.regexp_count(name, F.lit(r"(?U)\w+|[^\w\s]")).cast("double")
+    """Words by the Treebank's rules."""
+    return words.word_count(name).cast("double")
 
 
 def clipped(number: Column, bound: float = CLIP) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.functions import predicates as P
+from tablesift.functions import words
 from tablesift.functions.language import KnownLanguage, trigram_detector, trigram_model
 from tablesift.operators import dedup, information, language_model, quality, sampling, summarize, trees
 from tablesift.operators import filters as O
@@ -323,7 +324,7 @@ def datetime_summary(spark, sf_dir):
     return _rounded(summarize.column_summary(read(spark, sf_dir, "events"), "ts", F.col("event_id")))
 
 
-@query("SELECT source AS col_name, length(source)::DOUBLE AS header_num_chars, (length(source) - length(replace(source, '_', '')))::DOUBLE AS header_num_underscore, len(regexp_extract_all(source, '\\w+|[^\\w\\s]'))::DOUBLE AS header_num_words FROM (SELECT DISTINCT concat(source, '_', lang, '-', doc_id) AS source FROM documents)")
+@query(f"SELECT source AS col_name, length(source)::DOUBLE AS header_num_chars, (length(source) - length(replace(source, '_', '')))::DOUBLE AS header_num_underscore, len({words.words_sql('source')})::DOUBLE AS header_num_words FROM (SELECT DISTINCT concat(source, '_', lang, '-', doc_id) AS source FROM documents)")
 def header_summary(spark, sf_dir):
     names = read(spark, sf_dir, "documents").select(F.concat("source", F.lit("_"), "lang", F.lit("-"), "doc_id").alias("name")).distinct()
     return summarize.header_summary(names, F.col("name"))
@@ -554,6 +555,15 @@ def corpus_clean(spark, sf_dir):
 _WHOLE = "SELECT conv_id, turn, concat('t', turn) AS talk, role, text, true AS v1, true AS v2, true AS v3, true AS v4 FROM conversations"
 
 
+@query(f"SELECT conv_id, turn, len(w) AS n_words, md5(array_to_string(w, ' ')) AS words FROM (SELECT conv_id, turn, {words.words_sql('text')} AS w FROM conversations) UNION ALL SELECT -1 - item_id, 0, len(w), md5(array_to_string(w, ' ')) FROM (SELECT item_id, {words.words_sql('text')} AS w FROM benchmark)")
+def treebank_words(spark, sf_dir):
+    """Words of all turns and of all benchmark passages by the Treebank's rules: quotes, marks, contractions, the period at the end."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    both = turns.unionAll(read(spark, sf_dir, "benchmark").select(F.lit(-1) - F.col("item_id"), F.lit(0), "text"))
+    found = words.words(F.col("text"))
+    return both.select("conv_id", "turn", F.size(found).cast("long").alias("n_words"), F.md5(F.array_join(found, " ").cast("binary")).alias("words"))
+
+
 def _features_sql(source: str = _WHOLE) -> str:
     """All features of each conversation as a table of turn, talk, role and text, of which v1 to v4 say whether the table has them."""
     cells = {"turn": "turn::VARCHAR", "talk": "talk", "role": "role", "text": "text"}
