@@ -183,9 +183,9 @@ def find_runs(texts: list[np.ndarray], words: int = LEAST_WORDS, exponent: int =
             gram *= 2
         seen = np.where(found.covered(gram, len(ids))[places], _MOST, hashes)
         at, lag = _seeds(seen, scale)
-        if len(at):
-            # Where texts were left out between two places, they aren't the distance apart any more.
-            true = places[at + lag] - places[at] == lag
+        # Where texts were left out between two places, they aren't the distance apart any more.
+        true = places[at + lag] - places[at] == lag
+        if true.any():
             starts, ends, lags = _extended(ids, places[at[true]], lag[true])
             found.add(starts, ends, lags, words, exponent)
         scale *= 2
