@@ -4,7 +4,8 @@ It is a Spark data source.  A task writes its tables, and its part of the manife
 attempt; what it tells the driver is that folder's name and two counts.  When all tasks are through, the
 driver moves each of these folders to its place, one rename for a task, and then writes the
 commit, a small file by one rename, which names them.  Readers go by the commit, so they see
-none or all of a run; attempts that failed or ran twice are never named and are deleted at the end.
+none or all of a run; attempts that failed or ran twice are never named and are deleted at the end, at
+the latest with the next commit.  One run at a time writes to a folder.
 
 The manifest is a table like any other: it can be read again, and as often as is liked.
 
@@ -125,7 +126,9 @@ class TableWriter(DataSourceArrowWriter):
         with store.open_output_stream(f"{base}/_{self.run}.json") as out:
             out.write(json.dumps(told).encode())
         store.move(f"{base}/_{self.run}.json", f"{base}/{COMMIT}")
-        self.abort(messages)
+        # Those of earlier runs, too: a task that goes on when another has failed may end after ``abort``.
+        if _exists(store, f"{base}/_attempts"):
+            store.delete_dir(f"{base}/_attempts")
         for part in (before or {}).get("parts", []):
             store.delete_dir(f"{base}/{part}")
 

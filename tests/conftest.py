@@ -41,9 +41,3 @@ def duck(sf_dir):
     for name in TABLES:
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return connection
-
-
-def rows_of(frame):
-    """Rows by sorted column names, in a sorted list, for comparisons that ignore order."""
-    frame = frame[sorted(frame.columns)]
-    return sorted(repr(tuple(None if v is None or v != v else v for v in row)) for row in frame.astype(object).itertuples(index=False, name=None))
