@@ -2,15 +2,14 @@
 
 DataFrame operations only.  Words are what white space parts; passages are equal
 if their words are, so they may start and end in the middle of a line, and lines
-may be broken elsewhere: what is hashed are runs of ``GRAM`` words, whatever lines
-they stand in.
-
-1. Words are hashed, and each place has a rank by the hash of its word: one in 16 has
-   the first rank, one in 4 of all at least the second.  In a window of ``MIN_WORDS``
-   words the run at its minimum, the first place of the best rank, is its
-   fingerprint, so equal windows share theirs for certain.  Windows that have
-   the same minimum are neighbours and are kept as one range, with a hash of all
-   its words.
+may be broken elsewhere: what is hashed are runs of words, whatever lines they stand in.
+
+1. Words are hashed, and each has a rank by its hash: one in 24 has the first rank,
+   one in 8 of all at least the second.  The point of a window of ``MIN_WORDS`` words is
+   the first word of the best rank in it.  Windows that have the same point are
+   neighbours; they are kept as ranges, cut by the distance from window to point, so that
+   all windows of a range share ``GRAM`` words at least.  The hash of these is their
+   fingerprint, which equal windows share for certain; another one is made of all words.
 2. Ranges whose fingerprint occurs once in the corpus repeat nothing.  Most of the
    others are equal from end to end where they share it: all but the first go.
 3. Where ranges of one fingerprint differ, the windows of the first of each kind
@@ -45,13 +44,11 @@ from pyspark.sql import functions as F
 
 from tablesift.llm.common import among, discard, rewritten, settle, small, table, tidied
 
-#: Words of a run that is hashed as fingerprint; a passage shares its windows' runs.
-GRAM = 16
+#: Words that a fingerprint hashes; the windows of a range share them.
+GRAM = 26
 MIN_WORDS = 50
-#: Bytes of a word's code: a hash in hexadecimal digits, of which the first is 8 or more.
-CODE = 16
-#: Codes below which a place has the first rank, one in 16, and the second, one in 4.
-BEST, GOOD = "88", "A"
+#: Hashes below which a word has the first rank, one in 24, and the second, one in 8.
+BEST, GOOD = -(1 << 63) + (1 << 64) // 24, -(1 << 63) + (1 << 64) // 8
 #: Where lines end: behind a line feed, and behind a sentence's mark and white space.
 LINE_END = r"(?<=[.!?][ \t\r\f])|(?<=\n)"
 WHITE = " \t\r\n\f\x0b"
@@ -62,24 +59,25 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(WHITE))
 
 
+def _words(text: Column) -> Column:
+    """The words of a text: split at single blanks, which is cheaper than a pattern, without the empty ones."""
+    for c in WHITE[1:]:
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
 def _codes(text: Column) -> Column:
-    """A code of ``CODE`` bytes for each word, joined: any run of words is a slice of it, hashed at once."""
-    words = F.split(_trimmed(text), r"\s+")
-    return F.array_join(F.transform(words, lambda w: F.hex(F.xxhash64(w).bitwiseOR(F.lit(-1 << 63)))), "").cast("binary")
+    """A hash for each word: any run of words is a slice of them, hashed at once."""
+    return F.transform(_words(text), lambda w: F.xxhash64(w))
 
 
 def _run(codes: Column, first: Column, count: Column | int) -> Column:
     """The codes of ``count`` words from number ``first`` on."""
-    return F.substring(codes, first * CODE + 1, F.lit(CODE) * count)
-
-
-def _below(codes: Column, i: Column, rank: str) -> Column:
-    """Whether the word of number i has a code below ``rank``."""
-    return F.substring(codes, i * CODE + 1, F.lit(len(rank))) < F.lit(rank).cast("binary")
+    return F.slice(codes, first + 1, count)
 
 
 def _with(value: Column | str, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value evaluated once; bytes of a row would be copied at each use."""
+    """``use(value)``, with the value evaluated once."""
     return F.get(F.transform(F.array(value), use), 0)
 
 
@@ -98,39 +96,46 @@ def _gaps(points: Column, low: Column, high: Column, span: int) -> Column:
     return F.filter(each, lambda g: g["low"] <= g["high"])
 
 
-def _exploded(df: DataFrame, structs: Column, key: str) -> DataFrame:
-    """A row for each struct of an array.
+def _each(df: DataFrame, array: Column | str, name: str) -> DataFrame:
+    """A row for each element of an array, in place of the column ``name`` if there is one.
 
     Not by ``explode``: Spark would look first whether the array is empty, in a filter that it
     pushes down, and so make the array twice.
     """
-    return df.select(key, F.explode_outer(structs).alias("r")).filter(F.col("r").isNotNull()).select(key, "r.*")
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
 
 
 def fingerprints(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """Of each document with enough words: d and ``ranges``, structs of first and last window, fingerprint, and hash of all words."""
-    span = min_words - gram + 1
+    """Ranges of windows of documents with enough words: d, first and last window, fingerprint, and hash of all words."""
     words = units.select("d", _codes(F.col("__text")).alias("codes"))
     # No filter by n: Spark would push it down and make the codes twice.
-    words = words.withColumn("n", (F.octet_length("codes") / CODE).cast("int"))
-    places = F.when(F.col("n") >= min_words, F.sequence(F.lit(0), F.greatest(F.col("n") - gram, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    words = words.withColumn("best", _with("codes", lambda c: F.filter(places, lambda i: _below(c, i, BEST))))
+    words = words.withColumn("n", F.size("codes"))
+    places = F.when(F.col("n") >= min_words, F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    words = words.withColumn("best", _with("codes", lambda c: F.filter(places, lambda i: F.get(c, i) < BEST)))
     low, high = F.lit(0), F.col("n") - min_words
-    words = words.withColumns({"ranges": _ranges(F.col("best"), low, high, span), "gaps": _gaps(F.col("best"), low, high, span)}).drop("best")
+    words = words.withColumns({"ranges": _ranges(F.col("best"), low, high, min_words), "gaps": _gaps(F.col("best"), low, high, min_words)}).drop("best")
 
     def in_gap(codes: Column, g: Column) -> Column:
-        good = F.filter(F.sequence(g["low"], g["high"] + (span - 1)), lambda i: _below(codes, i, GOOD))
-        alone = lambda points: F.flatten(F.transform(_gaps(points, g["low"], g["high"], span), lambda r: F.transform(F.sequence(r["low"], r["high"]), lambda p: F.struct(p.alias("first"), p.alias("last"), p.alias("at")))))
-        return _with(good, lambda points: F.concat(_ranges(points, g["low"], g["high"], span), alone(points)))
-
-    words = words.withColumn("ranges", F.concat("ranges", F.flatten(_with("codes", lambda c: F.transform("gaps", lambda g: in_gap(c, g)))))).drop("gaps")
-    hashed = lambda c, r: F.struct(
-        r["first"].alias("first"),
-        r["last"].alias("last"),
-        F.xxhash64(_run(c, r["at"], gram)).alias("h"),
-        F.xxhash64(r["at"] - r["first"], _run(c, r["first"], r["last"] - r["first"] + min_words)).alias("whole"),
+        good = F.filter(F.sequence(g["low"], g["high"] + (min_words - 1)), lambda i: F.get(codes, i) < GOOD)
+        alone = lambda points: F.flatten(F.transform(_gaps(points, g["low"], g["high"], min_words), lambda r: F.transform(F.sequence(r["low"], r["high"]), lambda p: F.struct(p.alias("first"), p.alias("last"), p.alias("at")))))
+        return _with(good, lambda points: F.concat(_ranges(points, g["low"], g["high"], min_words), alone(points)))
+
+    words = words.withColumn("ranges", F.concat("ranges", F.flatten(_with("codes", lambda c: F.transform("gaps", lambda g: in_gap(c, g)))))).select("d", "codes", "ranges")
+    # Ranges are cut where the distance to their point is a multiple of ``block``, so equal windows stand in blocks
+    # of the same distance, and all windows of a block share at least ``gram`` words.
+    block = min_words - gram + 1
+    cut = _each(words, "ranges", "ranges").select("d", "codes", "ranges.*")
+    cut = _each(cut, F.sequence(F.floor((F.col("at") - F.col("last")) / block).cast("int"), F.floor((F.col("at") - F.col("first")) / block).cast("int")), "b")
+    end = F.col("at") - F.col("b") * block
+    cut = cut.select("d", "codes", "at", end.alias("end"), F.greatest("first", end - (block - 1)).alias("first"), F.least("last", end).alias("last"))
+    return cut.select(
+        "d",
+        "first",
+        "last",
+        F.xxhash64(_run(F.col("codes"), F.col("end"), gram)).alias("h"),
+        F.xxhash64(F.col("at") - F.col("first"), _run(F.col("codes"), F.col("first"), F.col("last") - F.col("first") + min_words)).alias("whole"),
     )
-    return words.select("d", _with("codes", lambda c: F.transform("ranges", lambda r: hashed(c, r))).alias("ranges"))
 
 
 def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, paths: list[str] | None = None) -> DataFrame:
@@ -139,7 +144,7 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     ``units`` has d, the number of a document in their order, and __text.  The tables that the
     result is read from are added to ``paths``.
     """
-    ranges = rewritten(_exploded(fingerprints(units, min_words, gram), F.col("ranges"), "d"), paths)
+    ranges = rewritten(fingerprints(units, min_words, gram), paths)
     shared = ranges.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most"), F.min("d").alias("at")).filter("n > 1")
     shared = settle(shared.select("h", (F.col("least") < F.col("most")).alias("mixed"), "at"))
     met = rewritten(among(ranges, shared, "h").join(small(shared), "h"), paths)
@@ -164,15 +169,20 @@ def repeated_windows(units: DataFrame, min_words: int = MIN_WORDS, gram: int = G
     per_word = F.flatten(F.transform(by_line, lambda u, i: F.when(u == "", F.array().cast("array<int>")).otherwise(F.array_repeat(i, F.size(F.split(u, r"\s+"))))))
     line = F.when(F.exists("rest", lambda r: r["back"].isNotNull()), per_word)
     found = found.select("d", _codes(F.col("__text")).alias("codes"), "rest", line.alias("line"))
-    inner = lambda r: F.filter(F.sequence(r["first"], r["last"]), lambda p: r["hashed"] | (F.get("line", r["back"] + p - r["first"]) < F.get("line", p)))
-    window = lambda c, p, r: F.struct(p.alias("p"), F.when(r["hashed"], F.coalesce(F.get("line", p), F.lit(0))).alias("line"), F.when(r["hashed"], F.xxhash64(_run(c, p, min_words))).alias("h"))
-    windows = _with("codes", lambda c: F.flatten(F.transform("rest", lambda r: F.transform(inner(r), lambda p: window(c, p, r)))))
-    windows = rewritten(_exploded(found, windows, "d"), paths)
+    each = _each(found, "rest", "rest").select("d", "codes", "line", "rest.*")
+    each = _each(each, F.sequence("first", "last"), "p").filter(F.col("hashed") | (F.get("line", F.col("back") + F.col("p") - F.col("first")) < F.get("line", F.col("p"))))
+    line, h = F.coalesce(F.get("line", F.col("p")), F.lit(0)), F.xxhash64(_run(F.col("codes"), F.col("p"), min_words))
+    windows = rewritten(each.select("d", "p", F.when(F.col("hashed"), line).alias("line"), F.when(F.col("hashed"), h).alias("h")), paths)
     tidied(units.sparkSession)
     hashed = windows.filter("h IS NOT NULL")
-    first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "p", "line")).alias("at")).filter("n > 1").select("h", "at")
+    # Not the least struct of d and line, which Spark aggregates by sorting: the line of the first place is asked for
+    # only where a document has lines at all.
+    first = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("at"), F.max("line").alias("top")).filter("n > 1").drop("n")
     first = settle(first)
-    again = among(hashed, first, "h").join(small(first), "h").filter((F.col("d") != F.col("at.d")) | (F.col("line") > F.col("at.line")))
+    met = among(hashed, first, "h").join(small(first), "h")
+    within = met.filter("top > 0 AND d = at")
+    lines = settle(within.groupBy("h").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low < high").drop("high"))
+    again = met.filter("d <> at").select("d", "p").union(within.join(small(lines), "h").filter("line > low").select("d", "p"))
     one = ["d", F.col("p").alias("first"), F.col("p").alias("last")]
     return whole.union(windows.filter("h IS NULL").select(*one)).union(again.select(*one))
 

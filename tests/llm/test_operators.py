@@ -514,6 +514,27 @@ def test_op7_against_plain_search(spark, sf_dir):
     assert {r.doc_id: r.text for r in QUERIES["op7_line_dedup"](spark, sf_dir).collect()} == plain_passages(rows)
 
 
+def test_fingerprints_hold_most_of_a_window(spark):
+    rng = random.Random(21)
+    some = lambda n: " ".join(f"w{rng.randrange(10**7)}" for _ in range(n))
+    # Runs of 22 words that many texts have, and one passage of 50 that two have.
+    common_runs, passage = [some(22) for _ in range(40)], some(50)
+    rows = [(i, " ".join(f"{some(9)} {run}" for run in rng.sample(common_runs, 30))) for i in range(40)]
+    rows += [(100 + i, f"{some(70)} {passage} {some(70)}") for i in range(2)]
+    units = documents(spark, rows).select(F.col("doc_id").alias("d"), F.col("text").alias("__text"))
+    found = line_dedup.fingerprints(units).collect()
+    at = {}
+    for r in found:
+        at.setdefault(r["h"], set()).add(r["d"])
+    # Only the passage is looked at again, and each window stands in one range.
+    assert {frozenset(ds) for ds in at.values() if len(ds) > 1} == {frozenset((100, 101))}
+    for d, text in rows:
+        windows = sorted(p for r in found if r["d"] == d for p in range(r["first"], r["last"] + 1))
+        assert windows == list(range(len(text.split()) - 49))
+    got = {r.doc_id: r.text for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+    assert got == plain_passages(rows) and passage not in got[101]
+
+
 def test_keys_among_many(spark, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
     hashed = lambda n, step: spark.range(0, n, step).select("id", F.xxhash64("id").alias("h"))
