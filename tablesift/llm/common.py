@@ -83,12 +83,32 @@ def among(rows: DataFrame, keys: DataFrame, column: str, bits: int = FILTER_BITS
     count = keys.count()
     if count <= BROADCAST_ROWS or count > 1 << bits:
         return rows
+    return _mapped(rows, keys, column, bits).filter("__met").select(*rows.columns)
+
+
+def outside(rows: DataFrame, keys: DataFrame, column: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``rows`` whose long ``column``, never null, isn't among ``keys``.
+
+    ``keys`` is settled.  If they are too many to broadcast, rows outside of the map that
+    ``among`` describes aren't shuffled.
+    """
+    count = keys.count()
+    if count <= BROADCAST_ROWS or count > 1 << bits:
+        return rows.join(small(keys), column, "left_anti")
+    hashed = F.xxhash64(column).alias("__hash")
+    marked = _mapped(rows.select("*", hashed), keys.select(hashed), "__hash", bits)
+    apart = marked.filter("__met").select(*rows.columns).join(keys, column, "left_anti").select(*rows.columns)
+    return marked.filter("NOT __met").select(*rows.columns).union(apart)
+
+
+def _mapped(rows: DataFrame, keys: DataFrame, column: str, bits: int) -> DataFrame:
+    """``rows`` with ``__met``: whether a bit is set for their ``column`` in a map of ``keys``."""
     value = F.shiftrightunsigned(column, 64 - bits) + 1
     maps = keys.groupBy(F.bitmap_bucket_number(value).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("__bits"))
     place = F.bitmap_bit_position(value)
     byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    met = rows.withColumn("__bucket", F.bitmap_bucket_number(value)).join(F.broadcast(maps), "__bucket")
-    return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+    met = rows.withColumn("__bucket", F.bitmap_bucket_number(value)).join(F.broadcast(maps), "__bucket", "left")
+    return met.withColumn("__met", F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False)))
 
 
 def tidied(spark: SparkSession) -> None:

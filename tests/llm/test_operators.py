@@ -535,6 +535,48 @@ def test_fingerprints_hold_most_of_a_window(spark):
     assert got == plain_passages(rows) and passage not in got[101]
 
 
+def test_words_said_again_and_again(spark):
+    rng = random.Random(22)
+    some = lambda n: " ".join(f"w{rng.randrange(10**7)}" for _ in range(n))
+    runs = lambda words, n, by: by.join(by.join([w] * n) for w in words)
+    rows = [(1, runs("abcd", 100, " ")), (2, runs("bdx", 64, "\n")), (3, f"{some(60)} {runs('ab', 77, ' ')}. {runs('a', 77, ' ')} {some(60)}")]
+    rows += [(4, "e\n" * 51), (5, "f " * 51), (6, runs("gg", 50, "\n")), (7, runs("hi", 49, " ")), (8, runs(["x y"], 90, ". ")), (9, runs("e", 300, "\n"))]
+    units = documents(spark, rows).select(F.col("doc_id").alias("d"), F.col("text").alias("__text"))
+    found = line_dedup.fingerprints(units).collect()
+    for d, text in rows:
+        windows = sorted(p for r in found if r["d"] == d for p in range(r["first"], r["last"] + 1))
+        assert windows == list(range(len(text.split()) - 49))
+    # Not a range for each window.
+    assert sum(r["d"] == 1 for r in found) < 40 and sum(r["d"] == 9 for r in found) < 20
+    got = {r.doc_id: r.text for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+    assert got == plain_passages(rows)
+
+
+def test_copies_of_whole_texts(spark, monkeypatch):
+    rng = random.Random(23)
+    some = lambda n, by=" ": by.join(f"w{rng.randrange(10**7)}" for _ in range(n))
+    long, lines, few, spaced = some(80), some(60, "\n\n") + "\n", some(49, "   "), f" \t {some(50)}  "
+    rows = [(i * 10 + j, t) for i in range(1, 4) for j, t in enumerate((long, lines, few, spaced, some(70), f"{long} {some(9)} {lines}"))]
+    rows += [(100, f"{some(30)} {long}")]
+    for limit in (500_000, 0):
+        # With a map of bits in place of a broadcast, too.
+        monkeypatch.setattr(common, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(common.small, "__defaults__", (None, limit))
+        got = {r.doc_id: r for r in line_dedup.without_runs(documents(spark, rows)).collect()}
+        assert {d: r.text for d, r in got.items()} == plain_passages(rows)
+        assert got[22].text == few and got[23].text == " \t " and got[23].removed == [(3, len(spaced))] and got[20].removed == [(0, len(long))]
+    units = documents(spark, rows).select(F.col("doc_id").alias("d"), F.col("text").alias("__text"))
+    assert {r.d for r in line_dedup.copies(units).collect()} == {20, 21, 22, 23, 30, 31, 32, 33}
+
+
+def test_keys_outside_many(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(common.small, "__defaults__", (None, 10))
+    keys = common.settle(spark.range(0, 4000, 4))
+    for bits in (27, 12, 9):
+        assert sorted(r.id for r in common.outside(spark.range(4000), keys, "id", bits).collect()) == [i for i in range(4000) if i % 4]
+
+
 def test_keys_among_many(spark, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
     hashed = lambda n, step: spark.range(0, n, step).select("id", F.xxhash64("id").alias("h"))
