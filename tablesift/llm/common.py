@@ -21,6 +21,9 @@ FILTER_BITS = 27
 #: Bytes of text that an Arrow worker handles at a time.
 SLICE_BYTES = 2 << 20
 
+#: Bytes of an Arrow batch on its way to a worker.
+BATCH_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -126,6 +129,18 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Spark cut the Arrow batches of this session at ``BATCH_BYTES``, too; a limit of the user's own stays.
+
+    By default 10,000 rows are a batch, so that of texts a whole partition is.  Outside of its
+    heap the JVM holds a batch twice, in buffers that grow by doubling, and the worker once more.
+    Rows and results are the same; a longer row is a batch of its own.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, BATCH_BYTES)
+
+
 def plainly_named(df: DataFrame) -> DataFrame:
     """``df`` with columns c0, c1 and so on, so that no name clashes with an operator's own or has a dot in it."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

@@ -3,11 +3,12 @@
 import glob
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_operators import PASSAGE, SCHEMA, brute_components, filler
 
-from tablesift.llm import secrets
+from tablesift.llm import common, secrets
 
 
 @pytest.fixture()
@@ -84,3 +85,25 @@ def test_run_keeps_no_copies(spark, folder):
     corpus_pipeline.run(spark, folder).collect()
     left = set(glob.glob(f"{place}/*.parquet")) - before
     assert sum("text" in spark.read.parquet(p).columns and "n_chars" in spark.read.parquet(p).columns for p in left) == 1
+
+
+def test_batches_are_bounded(spark, folder):
+    """A stage doesn't hand a whole partition of texts to a worker at once, and keeps to the user's own limit."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    large = spark.range(0, 2000, 1, 1).select("id", F.repeat(F.lit("word "), 2000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "size": [batch.nbytes]})
+
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("toxicity", "near_duplicates", "secrets", "packing"):
+        spark.conf.unset(limit)
+        stages[name](spark, docs, folder)
+        got = large.mapInArrow(sizes, "rows long, size long").collect()
+        assert sum(r.rows for r in got) == 2000 and max(r.size for r in got) <= 1.25 * common.BATCH_BYTES, name
+    spark.conf.set(limit, "1m")
+    stages["secrets"](spark, docs, folder)
+    assert spark.conf.get(limit) == "1m"
+    spark.conf.unset(limit)
