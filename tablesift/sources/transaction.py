@@ -187,8 +187,7 @@ def save_tables(corpus: DataFrame, directory: str, file_format: str = "parquet",
 
 def read_manifest(spark: SparkSession, directory: str) -> DataFrame:
     """The rows of a committed folder; of one without a commit there are none."""
-    place, commit = qualified(spark, directory), committed(spark, directory)
-    parts = (commit or {}).get("parts", [])
+    parts = (committed(spark, directory) or {}).get("parts", [])
     if not parts:
         return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).parquet(*[f"{place}/{p}/manifest" for p in parts])
+    return spark.read.schema(MANIFEST).parquet(*[f"{directory}/{p}/manifest" for p in parts])

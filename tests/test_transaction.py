@@ -13,6 +13,7 @@ from test_corpus import blob, good
 from tablesift.operators.sampling import chunk_of
 from tablesift.plans import corpus
 from tablesift.plans.config import config
+from tablesift.queries import ORACLE_SQL, QUERIES
 from tablesift.sources import arrow_tables, shards, sinks, transaction
 
 
@@ -114,3 +115,42 @@ def test_a_chunk_reads_its_part_of_the_index(spark, shard_dir):
     whole = sinks.read_index(spark, f"{shard_dir}/index")
     assert sorted(map(tuple, index.collect())) == sorted(map(tuple, whole.join(mine, "path", "left_semi").select("key", "path", "content_hash").collect()))
     assert arrow_tables.decoded(good())[0].num_rows == 80
+
+
+def test_index_folders_have_names_that_fit(spark, tmp_path):
+    # "=" takes three bytes in a folder's name and "é" two, so the fourth is one byte too long and the third just fits.
+    start = "file:///in/"
+    fits = start + "=" * 70 + "é" * 10 + "x" * (249 - 17 - 210 - 20)
+    paths = [f"{start}a.parquet", start + "y" * 400 + ".parquet", fits + ".parquet", fits + "x.parquet"]
+    index = spark.createDataFrame([(f"a/t{i}", p, f"t{i}") for i, p in enumerate(paths)], "key string, path string, content_hash string")
+    sinks.write_index(index, f"{tmp_path}/index")
+    folders = [f for f in os.listdir(f"{tmp_path}/index") if f.startswith("shard=")]
+    assert len(folders) == 4 and max(len(f.encode()) for f in folders) == 255 and sum(f.startswith("shard=md5-") for f in folders) == 2
+    for i, p in enumerate(paths):
+        mine = spark.createDataFrame([(p,)], "path string")
+        assert [tuple(r) for r in sinks.read_index_of(spark, f"{tmp_path}/index", mine).collect()] == [(f"a/t{i}", p, f"t{i}")]
+
+
+def test_stores_behind_a_mount_table_and_odd_names(spark, tmp_path):
+    os.makedirs(tmp_path / "store")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.mounted.link./shared", f"file://{tmp_path}/store")
+    assert sinks.qualified(spark, "viewfs://mounted/shared/a/b") == f"file://{tmp_path}/store/a/b"
+    for out in (f"{tmp_path}/a b%20#é", "viewfs://mounted/shared/out"):
+        manifest = transaction.save_tables(tables(spark, ROWS), out)
+        assert sorted((r.table_id, r.rows) for r in manifest.collect() if r.path) == [("manifest", 1), ("x", 1), ("x", 2)]
+        assert all(pa.parquet.read_table(r.path).num_rows == r.rows for r in manifest.collect() if r.path)
+
+
+@pytest.mark.parametrize("name", ["corpus_chunks"])
+def test_queries_in_a_long_shared_folder_of_a_cluster(name, spark, sf_dir, duck, tmp_path, monkeypatch):
+    context = spark.sparkContext
+    before = context._jsc.sc().getCheckpointDir()
+    context.setCheckpointDir(f"{tmp_path}/{'jobs-of-a-cluster/' * 8}shared")
+    monkeypatch.setattr(context, "master", "spark://cluster:7077")  # what the sinks ask; nothing is started
+    try:
+        got = QUERIES[name](spark, sf_dir)
+        want = duck.execute(ORACLE_SQL[name])
+        assert sorted(map(repr, map(tuple, got.select(*[c[0] for c in want.description]).collect()))) == sorted(map(repr, want.fetchall()))
+    finally:
+        if before.isDefined():
+            context.setCheckpointDir(os.path.dirname(before.get()))
