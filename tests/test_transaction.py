@@ -141,7 +141,7 @@ def test_stores_behind_a_mount_table_and_odd_names(spark, tmp_path):
         assert all(pa.parquet.read_table(r.path).num_rows == r.rows for r in manifest.collect() if r.path)
 
 
-@pytest.mark.parametrize("name", ["corpus_chunks"])
+@pytest.mark.parametrize("name", ["corpus_chunks", "corpus_run"])
 def test_queries_in_a_long_shared_folder_of_a_cluster(name, spark, sf_dir, duck, tmp_path, monkeypatch):
     context = spark.sparkContext
     before = context._jsc.sc().getCheckpointDir()
